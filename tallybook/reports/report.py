@@ -60,5 +60,7 @@ def with_shapes(body: str) -> str:
                 pending.append(SHAPES_SQL[name])
     if not wanted:
         return body
+    if body.startswith("WITH"):
+        body = f"SELECT * FROM (\n{body}\n)"
     ctes = ",\n".join(f"{n} AS (\n{q.strip()}\n)" for n, q in SHAPES_SQL.items() if n in wanted)
     return f"WITH {ctes}\n{body}"
