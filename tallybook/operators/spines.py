@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.dates import as_date
@@ -45,15 +45,22 @@ def day_positions(spine: DataFrame, before: int = 0, after: int = 0) -> DataFram
     Covers ``before`` days ahead of the first processing day, and ``after`` days past
     the last one, which read the position after the last.
     """
-    start = F.coalesce(F.date_add("prior_date", 1), F.date_sub("snapshot_date", before))
+    first = F.coalesce(F.date_add("prior_date", 1), F.date_sub("snapshot_date", before))
+    last = F.when(F.col("next_date").isNull(), F.date_add("snapshot_date", after)).otherwise(
+        F.col("snapshot_date")
+    )
     days = spine.select(
-        F.explode(F.sequence(start, F.col("snapshot_date"))).alias("day"), "seq"
+        F.explode(F.sequence(first, last)).alias("day"), "seq", F.col("snapshot_date").alias("_own")
+    )
+    return days.select(
+        "day", F.when(F.col("day") > F.col("_own"), F.col("seq") + 1).otherwise(F.col("seq"))
+        .alias("seq"),
     )
-    if not after:
-        return days
-    last = spine.where(F.col("next_date").isNull())
-    tail = F.sequence(F.date_add("snapshot_date", 1), F.date_add("snapshot_date", after))
-    return days.union(last.select(F.explode(tail), F.col("seq") + 1))
+
+
+def last_position(spine: DataFrame) -> Column:
+    """Position of the last processing day, as a scalar subquery (run once, no join)."""
+    return spine.agg(F.max("seq")).scalar()
 
 
 def asof_dates(

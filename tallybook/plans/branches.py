@@ -19,7 +19,7 @@ from tallybook.functions.keys import ACCOUNT_TYPE_CODES
 from tallybook.operators.frames import recode_values
 from tallybook.operators.joins import range_join_trailing
 from tallybook.operators.picks import latest_per_key, mode_per_key
-from tallybook.operators.spines import day_positions
+from tallybook.operators.spines import day_positions, last_position
 from tallybook.plans.conform import activity_flags
 
 BRANCH_COLUMNS = ["primary_branch", "direct_branch", "acct_branch", "rm_branch", "dynamic_branch"]
@@ -66,7 +66,9 @@ def unify_teller(
 
 def account_branches(accounts: DataFrame, orgs: DataFrame) -> DataFrame:
     """Branch and opening day per account, both from their newest rows."""
-    newest = latest_per_key(accounts, ["account_key"], "utc_timestamp", ["org_key"])
+    newest = latest_per_key(
+        accounts, ["account_key"], "utc_timestamp", ["org_key", "date_opened"]
+    )
     branches = latest_per_key(orgs, ["org_key"], "utc_timestamp", ["branch_id"])
     return (
         newest.join(branches.select("org_key", "branch_id"), "org_key")
@@ -192,12 +194,10 @@ def ownership_runs(direct: DataFrame, spine: DataFrame) -> DataFrame:
     """
     role = ["account_key", "customer_key", "primary_customer_flag"]
     if "snapshot_date" not in direct.columns:
-        ends = spine.agg(F.max("seq").alias("_last"))  # one row
-        return (
-            direct.select(*role)
-            .withColumn("own_from", F.lit(1))
-            .join(F.broadcast(ends.withColumn("own_from", F.lit(1))), "own_from")
-            .select(*role, "own_from", (F.col("_last") + 1).alias("own_until"))
+        return direct.select(
+            *role,
+            F.lit(1).alias("own_from"),
+            (last_position(spine) + 1).alias("own_until"),
         )
     seqs = F.broadcast(spine.select("snapshot_date", "seq"))  # bounded by the calendar
     daily = direct.join(seqs, "snapshot_date").select(*role, "seq").distinct()
@@ -221,15 +221,15 @@ def used_branch_history(
     customer and branch, replace a pass over the trailing year for every day.
     """
     placed = range_join_trailing(
-        trans.groupBy("account_key", "branch_number", "transaction_date").agg(
-            F.count(F.lit(1)).alias("_n")
-        ),
+        trans.select("account_key", "branch_number", "transaction_date"),
         spine,
         "transaction_date",
         days,
     )
+    # an account with any number of transactions reaches the ownership join with at most
+    # one row per branch and pair of positions
     per_account = placed.groupBy("account_key", "branch_number", "seq_from", "seq_until").agg(
-        F.sum("_n").alias("_n")
+        F.count(F.lit(1)).alias("_n")
     )
     start = F.greatest("seq_from", "own_from")
     stop = F.least("seq_until", "own_until")
@@ -255,7 +255,9 @@ def used_branch_history(
     changes = shared.groupBy("customer_key", "branch_number", F.col("c.seq").alias("seq")).agg(
         F.sum("c.d").alias("_d"), F.sum("c.p").alias("_p")
     )
-    # at most two changes per processing day and branch reach this window
+    # at most two changes per processing day and branch reach this window; laid out by
+    # customer, so that neither the days spread below nor their pick moves again
+    changes = changes.repartition("customer_key")
     order = Window.partitionBy("customer_key", "branch_number").orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = changes.select(
@@ -279,11 +281,9 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
     """Branch of the newest account owned directly, per customer and processing day."""
     # an account opened before the spine is open on its first day
     positions = F.broadcast(day_positions(spine))  # bounded by the calendar
-    first_day = spine.agg(F.min("snapshot_date").alias("_first"))  # one row
+    first_day = spine.agg(F.min("snapshot_date")).scalar()
     clamped = (
-        accts.withColumn("_one", F.lit(1))
-        .join(F.broadcast(first_day.withColumn("_one", F.lit(1))), "_one")
-        .withColumn("day", F.greatest("date_opened", "_first"))
+        accts.withColumn("day", F.greatest(F.col("date_opened"), first_day))
         .join(positions, "day")
         .select("account_key", "date_opened", "branch_id", F.col("seq").alias("_open"))
     )
@@ -298,7 +298,7 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
     spans = owned.groupBy("customer_key", start.alias("_from"), "own_until").agg(
         F.min(newest).alias("_best")
     )
-    daily = spans.select(
+    daily = spans.repartition("customer_key").select(
         "customer_key",
         "_best",
         F.explode(F.sequence(F.col("_from"), F.col("own_until") - 1)).alias("seq"),
@@ -324,26 +324,24 @@ def dynamic_branch_history(
     """
     runs = ownership_runs(direct, spine)
     seqs = F.broadcast(spine.select("snapshot_date", "seq"))  # bounded by the calendar
+    daily_flags = "snapshot_date" in flags.columns
+    at = ["customer_key", "seq"]
     if "snapshot_date" in customers.columns:
         master = customers.select("customer_key", "opening_branch", "snapshot_date").distinct()
         master = master.join(seqs, "snapshot_date")
     else:
-        all_days = spine.agg(
-            F.array_sort(F.collect_list(F.struct("seq", "snapshot_date"))).alias("_days")
-        )  # one row, one entry per calendar day at most
-        master = (
-            customers.select("customer_key", "opening_branch")
-            .distinct()
-            .withColumn("_one", F.lit(1))
-            .join(F.broadcast(all_days.withColumn("_one", F.lit(1))), "_one")
-            .select("customer_key", "opening_branch", F.inline("_days"))
-        )
-    flag_keys = ["customer_key"] + (["snapshot_date"] if "snapshot_date" in flags.columns else [])
-    at = ["customer_key", "seq"]
+        master = customers.select("customer_key", "opening_branch").distinct()
+    if not daily_flags:
+        master = master.join(flags, "customer_key", "left")
+    if "snapshot_date" not in customers.columns:
+        # one array with an entry per calendar day at most
+        all_days = spine.agg(F.collect_list(F.struct("seq", "snapshot_date"))).scalar()
+        master = master.select("*", F.inline(all_days))
+    if daily_flags:
+        master = master.join(flags.join(seqs, "snapshot_date").drop("snapshot_date"), at, "left")
     return (
         master.join(used_branch_history(trans, runs, spine, days), at, "left")
         .join(account_branch_history(accts, runs, spine), at, "left")
-        .join(flags, flag_keys, "left")
         .select(*_assignment_columns(F.col("snapshot_date")))
     )
 

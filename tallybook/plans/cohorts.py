@@ -27,19 +27,16 @@ def resolve_snapshot(
     target = F.last_day(target) if month_end else target
     wanted = cohort_dates.select("snapshot_date").distinct().withColumn("target_date", target)
     # cohort days, targets and the spine hold one row per calendar day at most
-    newest = spine.where(F.col("next_date").isNull()).select(
-        F.col("snapshot_date").alias("_newest")
-    )
-    known = asof_dates(wanted, spine, "target_date").withColumn("_one", F.lit(1))
-    bounded = known.join(F.broadcast(newest.withColumn("_one", F.lit(1))), "_one")
+    known = asof_dates(wanted, spine, "target_date")
+    newest = spine.agg(F.max("snapshot_date")).scalar()
     return (
-        wanted.join(F.broadcast(bounded), "target_date")
+        wanted.join(F.broadcast(known), "target_date")
         .where(F.col("resolved_date").isNotNull())
         .select(
             "snapshot_date",
             "target_date",
             "resolved_date",
-            (F.col("_newest") >= F.col("target_date")).alias("is_complete"),
+            (newest >= F.col("target_date")).alias("is_complete"),
         )
     )
 
@@ -116,14 +113,10 @@ def new_dollars_for_month(
     days are those of the month ``months`` before it.
     """
     due = F.last_day(F.add_months(as_date(as_of), -1))
-    newest = spine.where(F.col("snapshot_date") <= due).agg(
-        F.max("snapshot_date").alias("resolved_date")
-    )  # one row
-    month = newest.select(
-        "resolved_date", F.last_day(F.add_months("resolved_date", -months)).alias("_month")
+    newest = spine.where(F.col("snapshot_date") <= due).agg(F.max("snapshot_date")).scalar()
+    resolved = spine.select("snapshot_date", newest.alias("resolved_date")).where(
+        F.last_day("snapshot_date") == F.last_day(F.add_months("resolved_date", -months))
     )
-    days = spine.select("snapshot_date", F.last_day("snapshot_date").alias("_month"))
-    resolved = days.join(F.broadcast(month), "_month").select("snapshot_date", "resolved_date")
     cohort = flags.where(F.col("new_customer_flag") == 1).select("customer_key", "snapshot_date")
     return _cohort_dollars(
         cohort, resolved, xref, balances, "average_collected_balance_mtd", "deposit_dollars_new"

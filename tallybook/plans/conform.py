@@ -161,7 +161,7 @@ def relationship_type_counts(
     relationship: str | None = None,
 ) -> DataFrame:
     """Relationship rows per type, or per product for one type, on the given days."""
-    days = dates.select("snapshot_date").distinct()
+    days = F.broadcast(dates.select("snapshot_date").distinct())  # bounded by the calendar
     rows = xref.join(days, "snapshot_date", "left_semi")
     if relationship is None:
         keys = ["snapshot_date", "relationship_key"]
@@ -241,7 +241,10 @@ def xref_usable(
     The feeds carry ``snapshot_date``; ``month_ends`` maps each used day to its
     calendar month-end. Only products designated Product or Service remain.
     """
-    ends = month_ends.select("snapshot_date", F.col("month_end").alias("me_utc_timestamp"))
+    # bounded by the calendar; joined before anything else, it prunes the snapshot scans
+    ends = F.broadcast(
+        month_ends.select("snapshot_date", F.col("month_end").alias("me_utc_timestamp"))
+    )
     key = ["me_utc_timestamp"]
 
     def at_month_end(feed: DataFrame) -> DataFrame:

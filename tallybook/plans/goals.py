@@ -82,9 +82,9 @@ def annual_goal_stddev(counts: DataFrame, year: int) -> DataFrame:
 def year_end_counts(counts: DataFrame, year: int) -> DataFrame:
     """Distinct customers and accounts per branch in the last month present in the year."""
     in_year = counts.where(F.year(MONTH) == year)
-    last = in_year.agg(F.max(MONTH).alias(MONTH))  # one row
+    last = in_year.agg(F.max(MONTH)).scalar()
     return distinct_counts(
-        in_year.join(F.broadcast(last), MONTH, "left_semi"),
+        in_year.where(F.col(MONTH) == last),
         [BRANCH],
         {"prior_ye_num_cust": "customer_key", "prior_ye_num_prod_svc": "account_key"},
     )
@@ -111,15 +111,25 @@ def goal_ladder(base: DataFrame) -> DataFrame:
 
 
 def branch_goals(counts: DataFrame, year: int) -> DataFrame:
-    """Prior and current quarters, annual goal, year-end counts and the goal ladder."""
-    base = quarterly_products_per_customer(counts, year - 1, "prior_year")
-    for part in (
-        annual_goal_stddev(counts, year - 1),
-        year_end_counts(counts, year - 1),
-        quarterly_products_per_customer(counts, year, "current_year"),
-    ):
-        base = base.join(part, BRANCH, "left")
-    return goal_ladder(base)
+    """Prior and current quarters, annual goal, year-end counts and the goal ladder.
+
+    A quarter's mean is the mean of its months, so both years' quarters and the goal come
+    from one aggregate over the branch-month means. Branches without a prior year drop out.
+    """
+    prior = F.year(MONTH) == year - 1
+    months = branch_month_means(counts.where(F.year(MONTH).between(year - 1, year)))
+
+    def quarter_mean(y: int, q: int):
+        return F.avg(F.when(F.col("quarter") == f"{y}_{q}", F.col("mean_products")))
+
+    means = months.groupBy(BRANCH).agg(
+        *[quarter_mean(year - 1, q).alias(f"prior_year_Q{q}") for q in range(1, 5)],
+        *[quarter_mean(year, q).alias(f"current_year_Q{q}") for q in range(1, 5)],
+        F.stddev_samp(F.when(prior, F.col("mean_products"))).alias("current_year_annual_goal"),
+        F.count(F.when(prior, 1)).alias("_prior_months"),
+    )
+    base = means.where(F.col("_prior_months") > 0).drop("_prior_months")
+    return goal_ladder(base.join(year_end_counts(counts, year - 1), BRANCH, "left"))
 
 
 def monthly_products_pivot(counts: DataFrame, months: Sequence[str]) -> DataFrame:

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from tallybook.functions.dates import as_date
 from tallybook.functions.keys import normalize_key
 from tallybook.operators.picks import latest_per_key
+from tallybook.operators.spines import last_position
 from tallybook.operators.upserts import upsert
 from tallybook.plans.conform import LIVE_STATUSES
 
@@ -128,7 +129,6 @@ def ledger_runs(seed: DataFrame, events: DataFrame, spine: DataFrame) -> DataFra
     to compare with, so states start at position 2. One row per customer and change.
     """
     days = F.broadcast(spine.select(F.col("snapshot_date").alias("processing_date"), "seq"))
-    last = spine.agg(F.max("seq").alias("_last")).withColumn("_one", F.lit(1))  # one row
     nothing = F.lit(None).cast("date")
     opening = seed.select(
         "customer_key",
@@ -146,48 +146,34 @@ def ledger_runs(seed: DataFrame, events: DataFrame, spine: DataFrame) -> DataFra
         F.col("lost_on").alias("_lost"),
         F.lit(False).alias("_seeded"),
     )
-    merged = (
-        opening.unionByName(changes)
-        .groupBy("customer_key", "seq")
-        .agg(
-            F.max("_seed_original").alias("_seed_original"),
-            F.max("_acquired").alias("_acquired"),
-            F.max("_lost").alias("_lost"),
-            F.max("_seeded").alias("_seeded"),
-        )
+    # at most a seed and one event per processing day and customer reach these windows.
+    # Of rows for the same day the last one sees all, and the runs of the others are empty
+    own = Window.partitionBy("customer_key").orderBy(
+        "seq", F.desc("_seeded"), F.asc_nulls_first("_acquired")
     )
-    # at most one row per processing day and customer reaches these windows
-    own = Window.partitionBy("customer_key").orderBy("seq")
     upto = own.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    entered = merged.withColumn(
+    entered = opening.unionByName(changes).withColumn(
         "_entered",
         F.max(F.col("_seeded") | F.col("_acquired").isNotNull()).over(upto),
     ).where("_entered")
     states = entered.select(
         "customer_key",
-        "seq",
         F.when(F.max("_seeded").over(upto), F.max("_seed_original").over(upto))
         .otherwise(F.min("_acquired").over(upto))
         .alias("original_acquisition_date"),
         F.max("_acquired").over(upto).alias("most_recent_acquisition_date"),
         F.max("_lost").over(upto).alias("most_recent_lost_date"),
-        F.lead("seq").over(own).alias("_next"),
-        F.lit(1).alias("_one"),
-    )
-    return states.join(F.broadcast(last), "_one").select(
-        *LEDGER_COLUMNS,
         F.col("seq").alias("seq_from"),
-        F.coalesce(F.col("_next") - 1, "_last").alias("seq_to"),
+        F.coalesce(F.lead("seq").over(own) - 1, last_position(spine)).alias("seq_to"),
     )
+    return states.where(F.col("seq_from") <= F.col("seq_to"))
 
 
 def ledger_history(seed: DataFrame, events: DataFrame, spine: DataFrame) -> DataFrame:
     """Ledger as of every processing day: the dated snapshots, all days at once."""
     days = F.broadcast(spine.select("snapshot_date", "seq"))  # bounded by the calendar
-    spread = (
-        ledger_runs(seed, events, spine)
-        .where(F.col("seq_from") <= F.col("seq_to"))
-        .withColumn("seq", F.explode(F.sequence("seq_from", "seq_to")))
+    spread = ledger_runs(seed, events, spine).withColumn(
+        "seq", F.explode(F.sequence("seq_from", "seq_to"))
     )
     return spread.join(days, "seq").select(*LEDGER_COLUMNS, "snapshot_date")
 
@@ -226,7 +212,6 @@ def customer_status_flags(
     within ``fraud_days`` of a loss is left out; returning needs an absence longer than
     ``min_return_days``.
     """
-    days = F.broadcast(spine)  # bounded by the calendar
     recent = F.coalesce("most_recent_acquisition_date", "original_acquisition_date")
     away = F.datediff(recent, "most_recent_lost_date")
     states = runs.select(
@@ -235,41 +220,42 @@ def customer_status_flags(
         "seq_to",
         F.col("original_acquisition_date").alias("_original"),
         recent.alias("_recent"),
-        F.col("most_recent_lost_date").alias("_lost"),
         away.alias("_away"),
+        F.col("most_recent_lost_date").alias("_lost"),
     ).where(F.col("_away").isNull() | ~F.col("_away").between(0, fraud_days - 1))
-    in_run = F.col("seq").between(F.col("seq_from"), F.col("seq_to"))
     same = F.col("_recent") == F.col("_original")
 
-    def on_day(named: str, spine_col: str) -> DataFrame:
-        return states.join(days, F.col(named) == F.col(spine_col)).where(in_run)
+    def candidate(day: str, kind: str):
+        return F.struct(F.col(day).alias("_day"), F.lit(kind).alias("_kind"))
 
-    new = on_day("_original", "snapshot_date").select(
-        "snapshot_date", "customer_key", F.lit(1).alias("new_customer_flag")
-    )
-    returning = (
-        on_day("_recent", "snapshot_date")
-        .where(~same & (F.col("_away") > min_return_days))
-        .select("snapshot_date", "customer_key", F.lit(1).alias("returning_customer_flag"))
-    )
-    lost = on_day("_lost", "prior_date").select(
-        "snapshot_date",
-        "customer_key",
-        F.when(same, 1).alias("lost_customer_flag"),
-        F.when(~same, 1).alias("relost_customer_flag"),
-        F.col("_recent").alias("most_recent_acquisition_date"),
+    returned = F.when(~same & (F.col("_away") > min_return_days), candidate("_recent", "returning"))
+    named = states.withColumn(
+        "_c",
+        F.explode(
+            F.array_compact(
+                F.array(candidate("_original", "new"), returned, candidate("_lost", "lost"))
+            )
+        ),
     )
-    stacked = new.unionByName(returning, allowMissingColumns=True).unionByName(
-        lost, allowMissingColumns=True
+    # a loss shows on the processing day after the lost date, the others on their own day
+    own_day = F.struct(F.col("snapshot_date").alias("_day"), F.lit("acquired").alias("_side"))
+    day_after = F.struct(F.col("prior_date").alias("_day"), F.lit("lost").alias("_side"))
+    days = spine.select("snapshot_date", "seq", F.inline(F.array(own_day, day_after)))
+    side = F.when(F.col("_c._kind") == "lost", "lost").otherwise("acquired")
+    shown = (
+        named.withColumns({"_day": F.col("_c._day"), "_side": side})
+        .join(F.broadcast(days), ["_day", "_side"])  # bounded by the calendar
+        .where(F.col("seq").between(F.col("seq_from"), F.col("seq_to")))
     )
-    return stacked.select(
+    kind = F.col("_c._kind")
+    return shown.select(
         "snapshot_date",
         "customer_key",
-        "new_customer_flag",
-        "returning_customer_flag",
-        "lost_customer_flag",
-        "relost_customer_flag",
-        "most_recent_acquisition_date",
+        F.when(kind == "new", 1).alias("new_customer_flag"),
+        F.when(kind == "returning", 1).alias("returning_customer_flag"),
+        F.when((kind == "lost") & same, 1).alias("lost_customer_flag"),
+        F.when((kind == "lost") & ~same, 1).alias("relost_customer_flag"),
+        F.when(kind == "lost", F.col("_recent")).alias("most_recent_acquisition_date"),
     )
 
 
