@@ -48,6 +48,24 @@ def mode_per_key(
     return best.withColumnRenamed("_n", count_name)
 
 
+def most_used(value: str, uses: str) -> Column:
+    """Aggregate: the int value with most uses (above 0); equal uses go to the smallest.
+
+    The same pick as :func:`mode_per_key` for several counts in one pass. Count and value
+    are packed into one number, as a maximum over numbers is hash-aggregated where one
+    over structs is sorted. Low bits: 0 for a null value, which loses ties, else higher
+    for smaller values. Counts too large to pack in a bigint go through a decimal.
+    """
+    span, largest_int, packable = 2**33, 2**31 - 1, 2**30 - 1
+    count = F.col(uses).cast("bigint")
+    low = F.coalesce(F.lit(largest_int + 1) - F.col(value).cast("bigint"), F.lit(0))
+    packed = F.max(F.when(count.between(1, packable), count * F.lit(span) + low))
+    wide_span = F.lit(span).cast("decimal(10,0)")
+    wide = F.max(F.when(count > packable, count.cast("decimal(20,0)") * wide_span + low))
+    best = F.coalesce((wide % wide_span).cast("bigint"), packed.bitwiseAND(F.lit(span - 1)))
+    return F.when(best > 0, (F.lit(largest_int + 1) - best).cast("int"))
+
+
 def top_k(df: DataFrame, order: str, k: int, tiebreak: Sequence[str]) -> DataFrame:
     """The ``k`` rows with the largest order value (``TakeOrderedAndProject``)."""
     return df.orderBy(F.desc_nulls_last(order), *[F.asc_nulls_last(c) for c in tiebreak]).limit(k)

@@ -18,7 +18,7 @@ from tallybook.functions.dates import as_date
 from tallybook.functions.keys import ACCOUNT_TYPE_CODES
 from tallybook.operators.frames import recode_values
 from tallybook.operators.joins import range_join_trailing
-from tallybook.operators.picks import latest_per_key, mode_per_key
+from tallybook.operators.picks import latest_per_key, mode_per_key, most_used
 from tallybook.operators.spines import day_positions, last_position
 from tallybook.plans.conform import activity_flags
 
@@ -101,19 +101,13 @@ def _owned_usage(
     )
 
 
-def _most_used(uses: str) -> Column:
-    """Branch with the most uses in a group; equal uses go to the smallest branch."""
-    ranked = F.struct((-F.col(uses)).alias("n"), F.col("branch_number").alias("branch"))
-    return F.min(F.when(F.col(uses) > 0, ranked))["branch"]
-
-
 def primary_branch(
     trans: DataFrame, direct: DataFrame, as_of: date | str, days: int = 365
 ) -> DataFrame:
     """Most used branch on the accounts the customer is primary on."""
     used = _owned_usage(trans, direct.where(F.col("primary_customer_flag") == "Y"), as_of, days)
     return used.groupBy("customer_key").agg(
-        _most_used("primary_uses").alias("primary_branch_number")
+        most_used("branch_number", "primary_uses").alias("primary_branch_number")
     )
 
 
@@ -123,7 +117,7 @@ def direct_branch(
     """Most used branch on all accounts the customer owns directly."""
     used = _owned_usage(trans, direct, as_of, days)
     return used.groupBy("customer_key").agg(
-        _most_used("direct_uses").alias("direct_branch_number")
+        most_used("branch_number", "direct_uses").alias("direct_branch_number")
     )
 
 
@@ -135,8 +129,8 @@ def used_branches(
         _owned_usage(trans, direct, as_of, days)
         .groupBy("customer_key")
         .agg(
-            _most_used("primary_uses").alias("primary_branch_number"),
-            _most_used("direct_uses").alias("direct_branch_number"),
+            most_used("branch_number", "primary_uses").alias("primary_branch_number"),
+            most_used("branch_number", "direct_uses").alias("direct_branch_number"),
         )
     )
 
@@ -272,8 +266,8 @@ def used_branch_history(
         "seq", F.explode(F.sequence(F.col("seq"), F.col("_next") - 1))
     )
     return daily.groupBy("customer_key", "seq").agg(
-        _most_used("primary_uses").alias("primary_branch_number"),
-        _most_used("direct_uses").alias("direct_branch_number"),
+        most_used("branch_number", "primary_uses").alias("primary_branch_number"),
+        most_used("branch_number", "direct_uses").alias("direct_branch_number"),
     )
 
 
@@ -295,13 +289,25 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
     )
     owned = clamped.join(runs, "account_key").where(start < F.col("own_until"))
     # one row per customer and span of days before the spans are spread over days
-    spans = owned.groupBy("customer_key", start.alias("_from"), "own_until").agg(
-        F.min(newest).alias("_best")
-    )
-    daily = spans.repartition("customer_key").select(
-        "customer_key",
-        "_best",
-        F.explode(F.sequence(F.col("_from"), F.col("own_until") - 1)).alias("seq"),
+    spans = (
+        owned.groupBy("customer_key", start.alias("_from"), "own_until")
+        .agg(F.min(newest).alias("_best"))
+        .repartition("customer_key")
+    )
+    # a newer account that lasts as long hides the rest of the span before it
+    order = Window.partitionBy("customer_key").orderBy("_from", "_best")
+    hidden = (F.lead("_best").over(order) < F.col("_best")) & (
+        F.lead("own_until").over(order) >= F.col("own_until")
+    )
+    until = F.when(hidden, F.lead("_from").over(order)).otherwise(F.col("own_until"))
+    daily = (
+        spans.withColumn("_until", until)
+        .where(F.col("_from") < F.col("_until"))
+        .select(
+            "customer_key",
+            "_best",
+            F.explode(F.sequence(F.col("_from"), F.col("_until") - 1)).alias("seq"),
+        )
     )
     return daily.groupBy("customer_key", "seq").agg(
         F.min("_best")["branch"].alias("acct_branch_number")
@@ -339,9 +345,13 @@ def dynamic_branch_history(
         master = master.select("*", F.inline(all_days))
     if daily_flags:
         master = master.join(flags.join(seqs, "snapshot_date").drop("snapshot_date"), at, "left")
+    # both sides are spread over days after the sizes the planner sees, so they are never
+    # offered for broadcast
+    used = used_branch_history(trans, runs, spine, days).hint("merge")
+    newest = account_branch_history(accts, runs, spine).hint("merge")
     return (
-        master.join(used_branch_history(trans, runs, spine, days), at, "left")
-        .join(account_branch_history(accts, runs, spine), at, "left")
+        master.join(used, at, "left")
+        .join(newest, at, "left")
         .select(*_assignment_columns(F.col("snapshot_date")))
     )
 

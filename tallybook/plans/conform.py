@@ -130,7 +130,7 @@ def activity_flags(
     active = F.lit(True) if legacy_active else live
 
     def flag(test):
-        return F.max(F.when(test, "Y").otherwise("N"))
+        return F.when(F.max(test), "Y").otherwise("N")
 
     return base.groupBy("customer_key", *by).agg(
         flag(active).alias("is_active"), flag(direct).alias("is_direct")
