@@ -299,7 +299,8 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
     hidden = (F.lead("_best").over(order) < F.col("_best")) & (
         F.lead("own_until").over(order) >= F.col("own_until")
     )
-    until = F.when(hidden, F.lead("_from").over(order)).otherwise(F.col("own_until"))
+    next_from = F.when(hidden, F.lead("_from").over(order))
+    until = F.least(next_from, F.col("own_until"))
     daily = (
         spans.withColumn("_until", until)
         .where(F.col("_from") < F.col("_until"))

@@ -192,8 +192,11 @@ def ledger_incremental(
     fresh = F.col("prior_date") >= F.lit(since).cast("date")
     short = needed.withColumn("prior_date", F.when(fresh, F.col("prior_date")))
     events = snapshot_diff(recent, short)
+    # customers that entered on the days being done again enter anew
+    entered = F.col("original_acquisition_date")
+    known = ledger.where(entered.isNull() | (entered <= as_date(since)))
     changed = acquisition_ledger(
-        ledger.join(events.select("customer_key").distinct(), "customer_key", "left_semi"),
+        known.join(events.select("customer_key").distinct(), "customer_key", "left_semi"),
         events,
     )
     return upsert(ledger, changed, ["customer_key"])

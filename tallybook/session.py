@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -47,6 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-    made = tempfile.mkdtemp(prefix="tallybook-", dir=os.environ.get("TMPDIR"))
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    return _local_dir(spark.sparkContext.applicationId)
+
+
+@functools.cache
+def _local_dir(application: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tallybook-{application}-")
