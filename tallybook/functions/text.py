@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import re
+import functools
+import operator
 from collections.abc import Iterable
 
 from pyspark.sql import Column
@@ -12,19 +13,18 @@ from tallybook.functions.dates import ColumnOrName, as_column
 
 
 def contains_any(c: ColumnOrName, phrases: Iterable[str], case_sensitive: bool = False) -> Column:
-    """True when the text holds any phrase: one regular expression, one pass."""
-    phrases = list(phrases)
-    if not phrases:
-        return F.lit(False)
-    text = as_column(c)
+    """True when the text holds any phrase. Plain byte searches, no regular expression."""
+    text, phrases = as_column(c), list(phrases)
     if not case_sensitive:
         text, phrases = F.lower(text), [p.lower() for p in phrases]
-    return text.rlike("|".join(re.escape(p) for p in phrases))
+    if not phrases:
+        return F.lit(False)
+    return functools.reduce(operator.or_, [text.contains(p) for p in phrases])
 
 
 def starts_with_any(c: ColumnOrName, prefixes: Iterable[str]) -> Column:
     """True when the text starts with any prefix (case-sensitive)."""
-    return as_column(c).rlike("^(?:" + "|".join(re.escape(p) for p in prefixes) + ")")
+    return functools.reduce(operator.or_, [as_column(c).startswith(p) for p in prefixes])
 
 
 def first_non_blank(cols: Iterable[ColumnOrName], default: str = "ERROR") -> Column:

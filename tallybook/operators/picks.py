@@ -34,14 +34,20 @@ def earliest_per_key(
 
 
 def mode_per_key(
-    df: DataFrame, keys: Sequence[str], value: str, count_name: str | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    count_name: str | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
     """Most frequent value per key; equal counts go to the smallest value.
 
     Counting by (key, value) combines on the map side, so the pick only sees one
-    row per distinct value of a key. A null value counts like any other.
+    row per distinct value of a key. A null value counts like any other. ``weight``
+    names a column of counts when the rows are counted already.
     """
-    counts = df.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
+    total = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counts = df.groupBy(*keys, value).agg(total.alias("_n"))
     best = latest_per_key(counts, keys, "_n", [value])
     if count_name is None:
         return best.drop("_n")

@@ -400,8 +400,12 @@ def monthly_majority(assignments: DataFrame, officers: DataFrame) -> DataFrame:
         "me_utc_timestamp", F.last_day("snapshot_date")
     )
     month = ["customer_key", "me_utc_timestamp"]
-    branch = mode_per_key(daily, month, "dynamic_branch_name")
-    officer = mode_per_key(daily, month, "primary_officer").withColumnRenamed(
+    # days are counted once for both picks
+    counted = daily.groupBy(*month, "dynamic_branch_name", "primary_officer").agg(
+        F.count(F.lit(1)).alias("_days")
+    )
+    branch = mode_per_key(counted, month, "dynamic_branch_name", weight="_days")
+    officer = mode_per_key(counted, month, "primary_officer", weight="_days").withColumnRenamed(
         "primary_officer", "dynamic_officer_assignment"
     )
     return branch.join(officer, month)
@@ -423,8 +427,12 @@ def user_branch(
     trans: DataFrame, logs: DataFrame, user: str = "user_id", day: str = "log_date"
 ) -> DataFrame:
     """Log rows with the employee's branch: most used that day, else most used ever."""
-    per_day = mode_per_key(trans, ["user_id", "transaction_date"], "branch_number")
-    overall = mode_per_key(trans, ["user_id"], "branch_number")
+    # transactions are counted once for both picks
+    counted = trans.groupBy("user_id", "transaction_date", "branch_number").agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    per_day = latest_per_key(counted, ["user_id", "transaction_date"], "_n", ["branch_number"])
+    overall = mode_per_key(counted, ["user_id"], "branch_number", weight="_n")
     that_day = per_day.select(
         F.col("user_id").alias(user),
         F.col("transaction_date").alias(day),

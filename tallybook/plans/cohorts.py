@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.dates import as_date
@@ -113,9 +113,12 @@ def new_dollars_for_month(
     days are those of the month ``months`` before it.
     """
     due = F.last_day(F.add_months(as_date(as_of), -1))
-    newest = spine.where(F.col("snapshot_date") <= due).agg(F.max("snapshot_date")).scalar()
-    resolved = spine.select("snapshot_date", newest.alias("resolved_date")).where(
-        F.last_day("snapshot_date") == F.last_day(F.add_months("resolved_date", -months))
+    # the spine is bounded by the calendar, and so is this window
+    newest = F.max("snapshot_date").over(Window.partitionBy())
+    resolved = (
+        spine.where(F.col("snapshot_date") <= due)
+        .select("snapshot_date", newest.alias("resolved_date"))
+        .where(F.last_day("snapshot_date") == F.last_day(F.add_months("resolved_date", -months)))
     )
     cohort = flags.where(F.col("new_customer_flag") == 1).select("customer_key", "snapshot_date")
     return _cohort_dollars(

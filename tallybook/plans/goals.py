@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.operators.aggregates import distinct_counts, nested_mean, pivot_agg
@@ -81,13 +81,17 @@ def annual_goal_stddev(counts: DataFrame, year: int) -> DataFrame:
 
 def year_end_counts(counts: DataFrame, year: int) -> DataFrame:
     """Distinct customers and accounts per branch in the last month present in the year."""
-    in_year = counts.where(F.year(MONTH) == year)
-    last = in_year.agg(F.max(MONTH)).scalar()
-    return distinct_counts(
-        in_year.where(F.col(MONTH) == last),
-        [BRANCH],
+    monthly = distinct_counts(
+        counts.where(F.year(MONTH) == year),
+        [BRANCH, MONTH],
         {"prior_ye_num_cust": "customer_key", "prior_ye_num_prod_svc": "account_key"},
     )
+    # at most twelve rows per branch reach this window; looking the month up on its own
+    # would build the counts twice
+    last = F.max(MONTH).over(Window.partitionBy())
+    return monthly.withColumn("_last", last).where(F.col(MONTH) == F.col("_last")).drop(
+        MONTH, "_last"
+    )
 
 
 def goal_ladder(base: DataFrame) -> DataFrame:

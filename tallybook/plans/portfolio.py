@@ -47,29 +47,46 @@ def portfolio_growth(snapshots: DataFrame) -> DataFrame:
     amount of the others. A null account is new. Years whose prior year is missing
     are left out.
     """
-    yearly = snapshots.withColumn("portfolio_year", F.year("snapshot_date"))
-    per_account = yearly.groupBy("account_key", "portfolio_year").agg(
-        F.sum("bank_owned_principle_assets").alias("_owned"),
-        F.sum("original_amount").alias("_original"),
+    owned, original = F.col("bank_owned_principle_assets"), F.col("original_amount")
+    year = F.year("snapshot_date")
+    nothing = F.lit(None)
+    # each row counts in its own year, and as the prior balance of the year after
+    now = F.struct(
+        year.alias("portfolio_year"),
+        owned.alias("_owned"),
+        original.alias("_original"),
+        nothing.cast(snapshots.schema["bank_owned_principle_assets"].dataType).alias("_prior"),
+        F.lit(True).alias("_now"),
     )
-    prior = per_account.where(F.col("account_key").isNotNull()).select(
-        "account_key",
-        (F.col("portfolio_year") + 1).alias("portfolio_year"),
-        F.lit(True).alias("_kept"),
+    later = F.struct(
+        (year + 1).alias("portfolio_year"),
+        nothing.cast(snapshots.schema["bank_owned_principle_assets"].dataType).alias("_owned"),
+        nothing.cast(snapshots.schema["original_amount"].dataType).alias("_original"),
+        owned.alias("_prior"),
+        F.lit(False).alias("_now"),
     )
-    kept = F.col("_kept").isNotNull()
-    ends = (
-        per_account.join(prior, ["account_key", "portfolio_year"], "left")
-        .groupBy("portfolio_year")
+    per_account = (
+        snapshots.select("account_key", F.inline(F.array(now, later)))
+        .groupBy("account_key", "portfolio_year")
         .agg(
+            F.sum("_owned").alias("_owned"),
+            F.sum("_original").alias("_original"),
+            F.sum("_prior").alias("_prior"),
+            F.max("_now").alias("_now"),
+            F.max(~F.col("_now")).alias("_before"),
+        )
+    )
+    kept = F.col("_before") & F.col("account_key").isNotNull()
+    return (
+        per_account.groupBy("portfolio_year")
+        .agg(
+            F.sum("_prior").alias("begin_existing"),
             F.sum(F.when(kept, F.col("_owned"))).alias("end_existing"),
             F.sum(F.when(~kept, F.col("_original"))).alias("begin_new"),
             F.sum(F.when(~kept, F.col("_owned"))).alias("end_new"),
+            F.max("_now").alias("_now"),
+            F.max("_before").alias("_before"),
         )
-    )
-    begins = per_account.groupBy((F.col("portfolio_year") + 1).alias("portfolio_year")).agg(
-        F.sum("_owned").alias("begin_existing")
-    )
-    return ends.join(begins, "portfolio_year").select(
-        "portfolio_year", "begin_existing", "end_existing", "begin_new", "end_new"
+        .where("_now AND _before")
+        .drop("_now", "_before")
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from tallybook.operators import processing_dates
 from tallybook.plans import conform, goals, portfolio
 from tallybook.reports.report import Report
-from tallybook.reports.shapes import Tables, money
+from tallybook.reports.shapes import Tables, money, ownership_type
 
 
 def conformed(t: Tables):
@@ -102,14 +102,11 @@ def retail_columns(t: Tables):
 
 
 def usable(t: Tables):
-    daily_codes = t.codes.join(
-        t.accounts.select(F.col("status_key").alias("code_key"), "snapshot_date").distinct(),
-        "code_key",
-    )
     days = t.month_spine.select("snapshot_date")
-    owners = t.xref.select("relationship_key", "snapshot_date").distinct().join(
-        t.ownership, "relationship_key"
-    )
+    daily_codes = t.daily_codes
+    owners = t.xref.select(
+        "relationship_key", ownership_type("relationship_key"), "snapshot_date"
+    ).distinct()
     return conform.xref_usable(
         t.xref.drop("application", "relationship_date"),
         owners,

@@ -106,7 +106,7 @@ def update_log(t: Tables):
     transactions = lines.groupBy(*step).agg(
         F.min("l_partkey").alias("user_id"), F.min("l_shipdate").alias("create_date")
     )
-    updates = lines.groupBy(*update).agg(F.min("l_returnflag").alias("action"))
+    updates = lines.groupBy(*update).agg(F.count(F.lit(1)).alias("line_count"))
     accounts = lines.where(F.col("l_linestatus") == "F").select(*update).distinct().withColumn(
         "account_customer_key", F.col("logging_session_id") * 10
     )
@@ -226,12 +226,12 @@ FROM ({_VIEW_SQL}) WHERE user_branch_number IS NULL GROUP BY 1"""),
 WITH {_TELLER_SQL},
 t AS (SELECT l_orderkey, l_linenumber, l_suppkey, min(l_partkey) AS user_id,
              CAST(min(l_shipdate) AS DATE) AS log_date FROM lineitem GROUP BY 1, 2, 3),
-u AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, min(l_returnflag) AS action,
+u AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, count(*) AS line_count,
              min(l_quantity) AS q, min(l_discount) AS d,
              CASE WHEN bool_or(l_linestatus = 'F') THEN l_orderkey * 10 END AS link
       FROM lineitem GROUP BY 1, 2, 3, 4)
 SELECT l_orderkey AS logging_session_id, l_linenumber AS logging_view_id,
-       l_suppkey AS transaction_id, l_partkey AS update_id, t.user_id, t.log_date, action,
+       l_suppkey AS transaction_id, l_partkey AS update_id, t.user_id, t.log_date, line_count,
        link AS account_customer_key, column_name,
        CASE column_name WHEN 'quantity' THEN q ELSE u.d END AS new_column_value,
        coalesce(dd.b, oo.b) AS user_branch_number

@@ -25,6 +25,23 @@ def month_snapshot(column: str):
     return F.date_sub(F.last_day(column), 1)
 
 
+def ownership_type(key: str):
+    return F.when(F.col(key) == "1-A-P", "Indirect").otherwise("Direct").alias("ownership_type")
+
+
+def code_columns(key):
+    """Type, application and description of a status code."""
+    flag = F.substring(key, 1, 1)
+    texts = [(key == "AF", "OPEN"), (key == "AO", "DORMANT"), (key == "NF", ""),
+             (key == "NO", "CLOSED")]
+    return [
+        key.alias("code_key"),
+        classify([(flag == "A", "STAT"), (flag == "N", "SS")], "LNST").alias("code_type"),
+        F.when(key == "RO", "SI").otherwise("DD").alias("application"),
+        classify(texts).alias("code_description_2"),
+    ]
+
+
 class Tables:
     """Driver tables of one folder and the feeds made from them."""
 
@@ -77,14 +94,9 @@ class Tables:
 
     @cached_property
     def ownership(self) -> DataFrame:
-        key = F.col("relationship_key")
-        return (
-            self.xref.select("relationship_key")
-            .distinct()
-            .withColumn(
-                "ownership_type", F.when(key == "1-A-P", "Indirect").otherwise("Direct")
-            )
-        )
+        return self.xref.select(
+            "relationship_key", ownership_type("relationship_key")
+        ).distinct()
 
     @cached_property
     def product_groups(self) -> DataFrame:
@@ -98,21 +110,15 @@ class Tables:
 
     @cached_property
     def codes(self) -> DataFrame:
-        flag = F.col("l_returnflag")
-        key = F.concat(flag, "l_linestatus")
-        return (
-            self.raw("lineitem")
-            .select(
-                key.alias("code_key"),
-                classify([(flag == "A", "STAT"), (flag == "N", "SS")], "LNST").alias("code_type"),
-                F.when(key == "RO", "SI").otherwise("DD").alias("application"),
-                classify(
-                    [(key == "AF", "OPEN"), (key == "AO", "DORMANT"), (key == "NF", ""),
-                     (key == "NO", "CLOSED")]
-                ).alias("code_description_2"),
-            )
-            .distinct()
-        )
+        known = self.raw("lineitem").select("l_returnflag", "l_linestatus").distinct()
+        return known.select(*code_columns(F.concat("l_returnflag", "l_linestatus")))
+
+    @cached_property
+    def daily_codes(self) -> DataFrame:
+        """The codes as a feed with one extract per processing day."""
+        keys = F.explode(F.array(*[F.lit(k) for k in ("AF", "AO", "NF", "NO", "RF", "RO")]))
+        days = self.month_spine.select("snapshot_date", keys.alias("_key"))
+        return days.select(*code_columns(F.col("_key")), "snapshot_date")
 
     @cached_property
     def last_lines(self) -> DataFrame:
