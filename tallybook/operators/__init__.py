@@ -10,7 +10,13 @@ from tallybook.operators.aggregates import (
 )
 from tallybook.operators.frames import recode_values, sanitize_columns, union_feeds
 from tallybook.operators.joins import asof_join, range_join_trailing, split_by_membership
-from tallybook.operators.picks import earliest_per_key, latest_per_key, mode_per_key, most_used, top_k
+from tallybook.operators.picks import (
+    earliest_per_key,
+    latest_per_key,
+    mode_per_key,
+    most_used,
+    top_k,
+)
 from tallybook.operators.spines import (
     asof_dates,
     day_positions,

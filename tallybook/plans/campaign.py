@@ -112,8 +112,9 @@ def assign_control(
 ) -> DataFrame:
     """Master rows plus a label for every customer never labelled before.
 
-    The split hashes the customer key, so it depends on neither partitioning nor row
-    order, and labels already given stay. ``fraction`` may differ per stratum; strata
+    The split comes from the MD5 of the customer key, so it depends on neither
+    partitioning nor row order, can be recomputed by any engine, and labels already
+    given stay. ``fraction`` may differ per stratum; strata
     it does not name get no control group.
     """
     shares = fraction if isinstance(fraction, dict) else None
@@ -123,7 +124,8 @@ def assign_control(
         limit = classify(
             [(F.col(strata) == s, int(round(f * 10000))) for s, f in shares.items()], 0
         )
-    bucket = F.pmod(F.xxhash64(F.col("customer_key"), F.lit(seed)), F.lit(10000))
+    digest = F.md5(F.concat_ws(":", F.col("customer_key").cast("string"), F.lit(str(seed))))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 10000
     new = positives.join(master.select("customer_key"), "customer_key", "left_anti")
     labelled = new.select(
         "customer_key",

@@ -15,9 +15,8 @@ def conformed(t: Tables):
 
 
 def base(t: Tables):
-    return conform.build_relationship_base(
-        t.xref, t.product_groups, t.ownership, conformed(t).select("account_key", "conformed_status")
-    )
+    status = conformed(t).select("account_key", "conformed_status")
+    return conform.build_relationship_base(t.xref, t.product_groups, t.ownership, status)
 
 
 def conformed_columns(t: Tables):

@@ -135,7 +135,19 @@ _NAMES = "['unsubscribed','dismissed','no-contact','failed','reached','engaged',
 REPORTS = [
     Report("eligible_base", eligible, _ELIGIBLE_SQL),
     Report("segment_customers", segments, _SEGMENT_SQL),
-    Report("assign_control", control),
+    Report("assign_control", control, f"""
+WITH m AS (
+  SELECT c_custkey AS customer_key,
+         CASE WHEN c_acctbal < 0 THEN 'Control' ELSE 'Experiment' END AS exp_control_label,
+         DATE '1999-01-31' AS date_added
+  FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE', 'MACHINERY'))
+SELECT * FROM m
+UNION ALL
+SELECT customer_key,
+       CASE WHEN CAST('0x' || substr(md5(CAST(customer_key AS VARCHAR) || ':42'), 1, 8) AS BIGINT)
+         % 10000 < 1500 THEN 'Control' ELSE 'Experiment' END, DATE '{AS_OF}'
+FROM ({_SEGMENT_SQL}) WHERE prediction = '1'
+  AND customer_key NOT IN (SELECT customer_key FROM m)""", dates=("date_added",)),
     Report("daily_targets", targets, f"""
 SELECT customer_key, cp_model_group, DATE '{AS_OF}' AS cp_model_date
 FROM ({_SEGMENT_SQL}) WHERE prediction = '1' AND customer_key IN (

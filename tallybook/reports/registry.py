@@ -6,7 +6,16 @@ import importlib
 
 from tallybook.reports.report import Report
 
-AREAS = ["basics", "accounts", "lifecycle", "branches", "transactions", "campaign", "cohorts", "digital"]
+AREAS = [
+    "basics",
+    "accounts",
+    "lifecycle",
+    "branches",
+    "transactions",
+    "campaign",
+    "cohorts",
+    "digital",
+]
 
 
 def all_reports() -> dict[str, Report]:

@@ -19,7 +19,7 @@ class Report:
 
     name: str
     build: Callable[[Tables], DataFrame]
-    sql: str | None = None
+    sql: str
     dates: tuple[str, ...] = ()
     money: tuple[str, ...] = ()
 

@@ -104,7 +104,8 @@ def test_history_equals_one_plan_per_day(spark, rows, seed, daily):
 def test_unify_teller_keeps_the_newest_valid_rows(spark, rows):
     classic = spark.sql(
         "SELECT * FROM VALUES ('c1', 'D', 42, 7, '3', date'2022-01-03', 1),"
-        " ('c1', 'D', 42, 7, '4', date'2022-01-03', 2), ('c2', 'Z', 42, 7, '3', date'2022-01-03', 1),"
+        " ('c1', 'D', 42, 7, '4', date'2022-01-03', 2),"
+        " ('c2', 'Z', 42, 7, '3', date'2022-01-03', 1),"
         " ('c3', 'D', 0, 7, '3', date'2022-01-03', 1), ('c4', 'D', 5, 0, '3', date'2022-01-03', 1)"
         " t(composite_key, type_of_account_1, account_number_1, cif_number, branch_number,"
         " system_date, utc_timestamp)"

@@ -124,8 +124,11 @@ def test_control_share_per_stratum(spark, positives, nobody):
 
 
 def test_segment_priority_over_accounts(spark, rows):
-    base = values(spark, "('1', 7, 0, 1, 0), ('1', 7, 1, 0, 0), ('0', 7, 0, 0, 1), ('1', 8, 0, 0, 0)",
-                  "prediction, customer_key, payday_lending_flag, nsf_flag, decreasing_balance_flag")
+    base = values(
+        spark,
+        "('1', 7, 0, 1, 0), ('1', 7, 1, 0, 0), ('0', 7, 0, 0, 1), ('1', 8, 0, 0, 0)",
+        "prediction, customer_key, payday_lending_flag, nsf_flag, decreasing_balance_flag",
+    )
     assert rows(campaign.segment_customers(base)) == [
         ("0", 7, "Decreasing Balance"), ("1", 7, "Payday"), ("1", 8, "General"),
     ]
@@ -134,8 +137,9 @@ def test_segment_priority_over_accounts(spark, rows):
 def _campaign(spark):
     raw = values(
         spark,
-        "(1, ':lead', '2022-01-02', '', '2022-01-05', '2022-01-06', 'mail', '', '', 'NSF', '2022-01-01'),"
-        " (1, ':reached', '2022-01-01', '1900-01-01', null, '2022-01-09', 'banner', '3', 'Payday', 'NSF', ''),"
+        "(1, ':lead', '2022-01-02', '', '2022-01-05', '2022-01-06', 'mail', '', '', 'NSF',"
+        " '2022-01-01'), (1, ':reached', '2022-01-01', '1900-01-01', null, '2022-01-09', 'banner',"
+        " '3', 'Payday', 'NSF', ''),"
         " (2, ':unsubscribed', '2022-01-01', '', null, '2022-01-01', 'mail', '0', '', null, ''),"
         " (2, ':odd', '2022-01-01', '', null, null, 'mail', 'x', '', null, '')",
         "customer_key, campaign_result, first_contact_date, first_clicked_date,"
@@ -248,7 +252,9 @@ def test_failures_stay_open_until_a_success(spark, rows):
 
 def test_update_log_does_not_pair_keys_with_other_columns(spark):
     step = "logging_session_id, logging_view_id, transaction_id"
-    transactions = values(spark, "(1, 1, 1, 'e', date'2022-01-03')", f"{step}, user_id, create_date")
+    transactions = values(
+        spark, "(1, 1, 1, 'e', date'2022-01-03')", f"{step}, user_id, create_date"
+    )
     updates = values(spark, "(1, 1, 1, 1)", f"{step}, update_id")
     keys = values(spark, "(1, 1, 1, 1, 'a', 'k'), (1, 1, 1, 1, 'b', 'k')",
                   f"{step}, update_id, column_name, column_value")
