@@ -22,15 +22,18 @@ SETTINGS = {
 
 
 def build_session(
-    app: str = "tallybook", master: str | None = None, shuffle_partitions: int | None = None
+    app: str = "tallybook",
+    master: str | None = None,
+    shuffle_partitions: int | None = None,
+    settings: dict[str, str] | None = None,
 ) -> SparkSession:
-    """A session with :data:`SETTINGS`; master and partitions only when given."""
+    """A session with :data:`SETTINGS` and further ones; master and partitions if given."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for key, value in SETTINGS.items():
+    for key, value in (SETTINGS | (settings or {})).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

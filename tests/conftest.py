@@ -12,13 +12,11 @@ from tallybook.session import build_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    warehouse = tmp_path_factory.mktemp("warehouse")
-    from pyspark.sql import SparkSession
-
-    SparkSession.builder.config("spark.sql.warehouse.dir", str(warehouse)).config(
-        "spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared"))
-    )
-    session = build_session("tests", "local[4]", shuffle_partitions=4)
+    folders = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+    }
+    session = build_session("tests", "local[4]", shuffle_partitions=4, settings=folders)
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
