@@ -17,6 +17,7 @@ from tallybook.plans.transactions import (
     PAYDAY_EXCLUSIONS,
     PAYDAY_PHRASES,
     recent_activity_flag,
+    recent_activity_flags,
 )
 
 # Campaign outcomes from worst to best, and the mail outcomes that do
@@ -69,10 +70,8 @@ def eligible_base(
         "description", PAYDAY_EXCLUSIONS, True
     )
     nsf = F.col("transaction_code") == NSF_CODE
-    flagged = recent_activity_flag(
-        scored, trans, payday, "payday_lending_flag", as_of, payday_days
-    )
-    flagged = recent_activity_flag(flagged, trans, nsf, "nsf_flag", as_of, nsf_days)
+    rules = {"payday_lending_flag": (payday, payday_days), "nsf_flag": (nsf, nsf_days)}
+    flagged = recent_activity_flags(scored, trans, rules, as_of)
     flagged = recent_activity_flag(
         flagged, clusters, F.col("cluster") == DECREASING_CLUSTER, "decreasing_balance_flag"
     )

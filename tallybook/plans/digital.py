@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions import date_prefix, date_window, parse_datetime
@@ -61,11 +61,18 @@ def usage_by_channel(trans: DataFrame, exclude: Sequence[str] = tuple(SESSION_EV
 def users_without_event(
     trans: DataFrame, event: Column, profile: Sequence[str] = tuple(PROFILE)
 ) -> DataFrame:
-    """Known users none of whose rows is the event."""
+    """Known users none of whose rows is the event.
+
+    One pass: rows shrink to one per user profile before users are compared.
+    """
     key = profile[0]
-    having = trans.where(event).select(key).distinct()
-    users = trans.where(F.col(key).isNotNull()).select(*profile).distinct()
-    return users.join(having, key, "left_anti")
+    seen = (
+        trans.where(F.col(key).isNotNull())
+        .groupBy(*profile)
+        .agg(F.max(F.coalesce(event, F.lit(False))).alias("_had"))
+    )
+    ever = F.max("_had").over(Window.partitionBy(key))
+    return seen.withColumn("_ever", ever).where(~F.col("_ever")).select(*profile)
 
 
 def unrecovered_failures(
@@ -77,12 +84,25 @@ def unrecovered_failures(
 ) -> DataFrame:
     """Users with a failed event and never a successful follow-up, with their profile.
 
+    One pass, as in :func:`users_without_event`. Failures without a user stay open.
     ``users``, when given, adds its columns by ``user_id``.
     """
     key = profile[0]
-    failures = trans.where(failed).select(*profile).distinct()
-    fixed = trans.where(recovered).select(key).distinct()
-    open_cases = failures.join(fixed, key, "left_anti")
+    outcomes = (
+        trans.where(failed | recovered)
+        .groupBy(*profile)
+        .agg(
+            F.max(F.coalesce(failed, F.lit(False))).alias("_failed"),
+            F.max(F.coalesce(recovered, F.lit(False))).alias("_fixed"),
+        )
+    )
+    fixed = F.max("_fixed").over(Window.partitionBy(key))
+    still_open = F.col(key).isNull() | ~F.col("_ever_fixed")
+    open_cases = (
+        outcomes.withColumn("_ever_fixed", fixed)
+        .where(F.col("_failed") & still_open)
+        .select(*profile)
+    )
     return open_cases if users is None else open_cases.join(users, "user_id", "left")
 
 

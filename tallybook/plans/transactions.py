@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 from datetime import date
 
@@ -294,6 +296,31 @@ def customer_atm_profile(
     )
 
 
+def recent_activity_flags(
+    base: DataFrame,
+    trans: DataFrame,
+    flags: dict[str, tuple[Column, int | None]],
+    as_of: date | str | None = None,
+    date_col: str = "transaction_date",
+) -> DataFrame:
+    """Base rows with one 0/1 flag per rule: 1 where the account has a matching row.
+
+    ``flags`` maps a flag to its test and the days it looks back from ``as_of`` (``None``:
+    any date). The transactions are read once for all flags.
+    """
+    tests = {
+        name: test if days is None else test & date_window(date_col, as_of, days)
+        for name, (test, days) in flags.items()
+    }
+    any_test = functools.reduce(operator.or_, tests.values())
+    marked = (
+        trans.where(any_test)
+        .groupBy("account_key")
+        .agg(*[F.max(F.when(test, 1).otherwise(0)).alias(name) for name, test in tests.items()])
+    )
+    return base.join(marked, "account_key", "left").fillna(0, subset=list(flags))
+
+
 def recent_activity_flag(
     base: DataFrame,
     trans: DataFrame,
@@ -303,9 +330,5 @@ def recent_activity_flag(
     days: int | None = None,
     date_col: str = "transaction_date",
 ) -> DataFrame:
-    """Base rows with 1 where the account has a matching row (in the window), else 0."""
-    hits = trans.where(predicate)
-    if days is not None:
-        hits = hits.where(date_window(date_col, as_of, days))
-    marked = hits.select("account_key").distinct().withColumn(name, F.lit(1))
-    return base.join(marked, "account_key", "left").fillna(0, subset=[name])
+    """:func:`recent_activity_flags` for a single flag."""
+    return recent_activity_flags(base, trans, {name: (predicate, days)}, as_of, date_col)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallybook.operators import processing_dates
 from tallybook.plans import branches, conform, goals
 from tallybook.reports import accounts
 from tallybook.reports.report import Report
@@ -63,6 +64,18 @@ def history(t: Tables):
     )
 
 
+def owned_runs(t: Tables):
+    """Users as owners of the event types they used, day by day."""
+    types = F.col("event_type")
+    daily = t.raw("events").select(
+        F.when(types == "click", 1).when(types == "view", 2).otherwise(3).alias("account_key"),
+        F.col("user_id").alias("customer_key"),
+        F.when(types == "purchase", "Y").otherwise("N").alias("primary_customer_flag"),
+        F.to_date("ts").alias("snapshot_date"),
+    )
+    return branches.ownership_runs(daily, processing_dates(t.presence))
+
+
 def named(t: Tables):
     return branches.assignment_with_names(assignment(t), t.branch_lookup)
 
@@ -358,6 +371,17 @@ WHERE branch_id > 0 AND date_opened IS NOT NULL""", dates=("date_opened",)),
            lambda t: branches.account_branch(t.accts, t.direct, AS_OF), _ACCOUNT_SQL),
     Report("dynamic_branch", assignment, _DYNAMIC_SQL, dates=("snapshot_date",)),
     Report("dynamic_branch_history", history, _HISTORY_SQL, dates=("snapshot_date",)),
+    Report("ownership_runs", owned_runs, """
+WITH d AS (
+  SELECT DISTINCT CASE event_type WHEN 'click' THEN 1 WHEN 'view' THEN 2 ELSE 3 END AS account_key,
+         user_id AS customer_key,
+         CASE WHEN event_type = 'purchase' THEN 'Y' ELSE 'N' END AS primary_customer_flag, seq
+  FROM events JOIN d_day_spine ON snapshot_date = CAST(ts AS DATE)),
+r AS (SELECT *, seq - row_number() OVER (PARTITION BY account_key, customer_key,
+        primary_customer_flag ORDER BY seq) AS run FROM d)
+SELECT account_key, customer_key, primary_customer_flag, min(seq) AS own_from,
+       max(seq) + 1 AS own_until
+FROM r GROUP BY account_key, customer_key, primary_customer_flag, run"""),
     Report("branch_names", named, _NAMED_SQL, dates=("snapshot_date",)),
     Report("monthly_majority", majority, """
 WITH b AS (
