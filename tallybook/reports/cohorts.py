@@ -40,7 +40,7 @@ def _balances(t: Tables):
         "account_key",
         "snapshot_date",
         F.col("opening_amount").alias("average_collected_balance_mtd"),
-        (F.col("opening_amount") / 2).cast("decimal(18,2)").alias(
+        (F.col("opening_amount") * 3).cast("decimal(18,2)").alias(
             "average_collected_balance_last_12_months"
         ),
     )
@@ -112,9 +112,7 @@ REPORTS = [
            _dollars_sql("min", "forward", "opening_amount", "deposit_dollars_new"),
            dates=("snapshot_date",), money=("deposit_dollars_new",)),
     Report("lost_customer_dollars", lost_dollars,
-           _dollars_sql("max", "backward",
-                        "CAST(round(opening_amount / 2, 2) AS DECIMAL(18,2))",
-                        "deposit_dollars_lost"),
+           _dollars_sql("max", "backward", "opening_amount * 3", "deposit_dollars_lost"),
            dates=("snapshot_date",), money=("deposit_dollars_lost",)),
     Report("new_dollars_for_month", month_dollars, """
 WITH f AS (
