@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from tallybook.llm.exact import exact_duplicates
 from tallybook.llm.frames import read_table
 from tallybook.llm.packing import pack_pieces, token_pieces
+from tallybook.llm.passages import remove_repeated_windows
 from tallybook.llm.personal import BASE_KINDS, personal_spans
 from tallybook.llm.quality import classify_quality
+from tallybook.llm.setjoin import similar_documents
 
 
 def tokenizer_path() -> str:
@@ -66,12 +68,82 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS te
 FROM t JOIN g USING (norm)
 """
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_windows(read_table(spark, sf_dir, "documents"))
+    removed = F.aggregate("intervals", F.lit(0).cast("bigint"), lambda n, x: n + x.end - x.start)
+    return found.select(
+        "doc_id", "n_words", removed.alias("n_removed"), F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+OP7_SQL = f"""
+WITH w AS (
+    SELECT doc_id, {_WORDS} AS ws FROM documents
+), win AS (
+    SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS seq
+    FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS i FROM w WHERE len(ws) >= 13)
+), least AS (
+    SELECT seq, min(doc_id) AS least_id FROM win GROUP BY seq
+), covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS pos
+    FROM win JOIN least USING (seq) WHERE least_id < doc_id
+), word AS (
+    SELECT doc_id, unnest(range(1, len(ws) + 1)) AS pos, unnest(ws) AS word FROM w
+), kept AS (
+    SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS text, count(*) AS n
+    FROM word ANTI JOIN covered USING (doc_id, pos) GROUP BY doc_id
+)
+SELECT doc_id, len(ws)::BIGINT AS n_words, (len(ws) - coalesce(n, 0))::BIGINT AS n_removed,
+       sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+
+def op8_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_documents(read_table(spark, sf_dir, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS ws
+    FROM documents
+), sets AS (
+    SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM w WHERE len(ws) > 0)
+), sizes AS (
+    SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id
+), linked AS (
+    SELECT a.doc_id AS u, b.doc_id AS v
+    FROM (SELECT x.doc_id AS u, y.doc_id AS v, count(*) AS common
+          FROM sets x JOIN sets y ON x.shingle = y.shingle AND x.doc_id != y.doc_id GROUP BY 1, 2) p
+    JOIN sizes a ON a.doc_id = p.u JOIN sizes b ON b.doc_id = p.v
+    WHERE 100 * common >= 75 * (a.n + b.n - common)
+), reach AS (
+    SELECT doc_id AS node, doc_id AS other FROM w
+    UNION
+    SELECT node, v FROM reach JOIN linked ON other = u
+)
+SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least_id AS component_id
+FROM w LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT node AS doc_id, min(other) AS least_id FROM reach GROUP BY node) USING (doc_id)
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
     "op4_personal_data": op4_personal_data,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
+    "op8_shingle_join": op8_shingle_join,
 }
 
 #: SQL that must give the same rows; the rest is tested against brute force or on held-out rows.
-ORACLE_SQL: dict[str, str] = {"op6_exact_dedup": OP6_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_exact_dedup": OP6_SQL,
+    "op7_substring_dedup": OP7_SQL,
+    "op8_shingle_join": OP8_SQL,
+}
