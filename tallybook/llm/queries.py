@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.contamination import benchmark_leaks
 from tallybook.llm.exact import exact_duplicates
 from tallybook.llm.frames import read_table
+from tallybook.llm.licences import licence_notices
 from tallybook.llm.packing import pack_pieces, token_pieces
 from tallybook.llm.passages import remove_repeated_windows
 from tallybook.llm.personal import BASE_KINDS, personal_spans
 from tallybook.llm.quality import classify_quality
 from tallybook.llm.setjoin import similar_documents
+from tallybook.llm.sharding import extendible_shards
+from tallybook.llm.suffixes import repeated_passages
 
 
 def tokenizer_path() -> str:
@@ -33,6 +37,12 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify_quality(documents, labels)
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(read_table(spark, sf_dir, "documents"))
+    spans = F.transform("intervals", lambda x: F.concat_ws(":", x["start"], x["end"]))
+    return found.select("doc_id", "n_words", F.array_join(spans, ",").alias("spans"))
+
+
 def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_spans(read_table(spark, sf_dir, "documents"))
 
@@ -52,6 +62,11 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_extendible_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extendible_shards(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("shard_id", F.concat_ws("-", "bits", "prefix", "page"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_duplicates(read_table(spark, sf_dir, "documents"))
     return found.withColumn("text_sha256", F.lower(F.hex("digest"))).drop("digest")
@@ -132,13 +147,26 @@ FROM w LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT node AS doc_id, min(other) AS least_id FROM reach GROUP BY node) USING (doc_id)
 """
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return benchmark_leaks(documents, benchmark)
+
+
+def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licence_notices(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
+    "op3_suffix_dedup": op3_suffix_dedup,
     "op4_personal_data": op4_personal_data,
+    "op5_extendible_shards": op5_extendible_shards,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_shingle_join": op8_shingle_join,
+    "op9_decontamination": op9_decontamination,
+    "op10_licence_scan": op10_licence_scan,
 }
 
 #: SQL that must give the same rows; the rest is tested against brute force or on held-out rows.
