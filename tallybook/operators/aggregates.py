@@ -43,9 +43,22 @@ def pivot_agg(
     values: Sequence[object],
     aggregate,
     names: Sequence[str] | None = None,
+    other: str | None = None,
 ) -> DataFrame:
-    """One output column per listed value (listed, so no extra job looks for them)."""
-    wide = df.groupBy(*keys).pivot(column, list(values)).agg(aggregate)
+    """One output column per listed value (listed, so no extra job looks for them).
+
+    Rows of any other value, or of none, go into the column ``other``. Without that name
+    they are an error when the plan runs, so that none vanish unseen.
+    """
+    if other is None:
+        text = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+        rest = F.raise_error(F.concat(F.lit(f"{column} has a value that is not listed: "), text))
+        rest = rest.cast(df.schema[column].dataType)
+    else:
+        rest = F.lit(other)
+    listed = F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(rest)
+    wanted = list(values) if other is None else [*values, other]
+    wide = df.withColumn(column, listed).groupBy(*keys).pivot(column, wanted).agg(aggregate)
     if names is None:
         return wide
     return wide.withColumnsRenamed({str(v): n for v, n in zip(values, names)})

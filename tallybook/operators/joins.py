@@ -12,11 +12,12 @@ from tallybook.operators.spines import day_positions
 
 
 def split_by_membership(
-    df: DataFrame, keys_df: DataFrame, key: str
+    df: DataFrame, keys_df: DataFrame, key: str | Sequence[str]
 ) -> tuple[DataFrame, DataFrame]:
     """Rows whose key is known, and rows whose key is new (a null key is new)."""
-    keys = keys_df.select(key)
-    return df.join(keys, key, "left_semi"), df.join(keys, key, "left_anti")
+    names = [key] if isinstance(key, str) else list(key)
+    keys = keys_df.select(*names)
+    return df.join(keys, names, "left_semi"), df.join(keys, names, "left_anti")
 
 
 def range_join_trailing(

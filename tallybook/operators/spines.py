@@ -13,14 +13,26 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from tallybook.functions.dates import as_date
 
 
+def require_date(df: DataFrame, column: str) -> None:
+    """Refuse stamps that are not whole days; normalize_snapshot_date makes them so."""
+    kind = df.schema[column].dataType
+    if not isinstance(kind, DateType):
+        raise TypeError(f"{column} must be a DATE, not {kind.simpleString()}")
+
+
 def processing_dates(
     df: DataFrame, date_col: str = "snapshot_date", since: date | str | None = None
 ) -> DataFrame:
-    """Distinct processing days in order, with their neighbours."""
+    """Distinct processing days in order, with their neighbours.
+
+    The column must be a DATE: finer stamps would not be bounded by the calendar.
+    """
+    require_date(df, date_col)
     days = df.select(F.col(date_col).alias("snapshot_date")).where(F.col(date_col).isNotNull())
     if since is not None:
         days = days.where(F.col("snapshot_date") >= as_date(since))

@@ -241,14 +241,16 @@ def xref_usable(
     The feeds carry ``snapshot_date``; ``month_ends`` maps each used day to its
     calendar month-end. Only products designated Product or Service remain.
     """
-    # bounded by the calendar; joined before anything else, it prunes the snapshot scans
+    # bounded by the calendar, as are the days in the array that prunes the snapshot scans
+    used = month_ends.agg(F.collect_set("snapshot_date"))
     ends = F.broadcast(
         month_ends.select("snapshot_date", F.col("month_end").alias("me_utc_timestamp"))
     )
     key = ["me_utc_timestamp"]
 
     def at_month_end(feed: DataFrame) -> DataFrame:
-        return feed.join(ends, "snapshot_date").drop("snapshot_date")
+        wanted = feed.where(F.array_contains(used.scalar(), F.col("snapshot_date")))
+        return wanted.join(ends, "snapshot_date").drop("snapshot_date")
 
     designated = (
         product_lookup.where(

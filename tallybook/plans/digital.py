@@ -30,7 +30,7 @@ def login_pivot(
     login: str = "Login",
     stamp_format: str = STAMP_FORMAT,
 ) -> DataFrame:
-    """Logins per person, one column per listed ``device - channel`` method.
+    """Logins per person, one column per listed ``device - channel`` method and ``other``.
 
     Each person counts under the newest enrolment; people without logins are kept.
     """
@@ -40,7 +40,9 @@ def login_pivot(
         & known
         & date_window(parse_datetime("transaction_stamp", stamp_format), as_of, days)
     ).withColumn("login_method", F.concat("device", F.lit(" - "), "channel"))
-    counted = pivot_agg(logins, ["user_id"], "login_method", methods, F.count(F.lit(1)))
+    counted = pivot_agg(
+        logins, ["user_id"], "login_method", methods, F.count(F.lit(1)), other="other"
+    )
     newest = latest_per_key(
         users.where(F.col("individual_id").isNotNull()),
         ["individual_id"],
@@ -84,7 +86,8 @@ def unrecovered_failures(
 ) -> DataFrame:
     """Users with a failed event and never a successful follow-up, with their profile.
 
-    One pass, as in :func:`users_without_event`. Failures without a user stay open.
+    One pass, as in :func:`users_without_event`. Failures without a user stay open; having no
+    user to be compared with, they are never laid out by that key.
     ``users``, when given, adds its columns by ``user_id``.
     """
     key = profile[0]
@@ -97,11 +100,12 @@ def unrecovered_failures(
         )
     )
     fixed = F.max("_fixed").over(Window.partitionBy(key))
-    still_open = F.col(key).isNull() | ~F.col("_ever_fixed")
     open_cases = (
-        outcomes.withColumn("_ever_fixed", fixed)
-        .where(F.col("_failed") & still_open)
+        outcomes.where(F.col(key).isNotNull())
+        .withColumn("_ever_fixed", fixed)
+        .where(F.col("_failed") & ~F.col("_ever_fixed"))
         .select(*profile)
+        .unionByName(outcomes.where(F.col(key).isNull() & F.col("_failed")).select(*profile))
     )
     return open_cases if users is None else open_cases.join(users, "user_id", "left")
 

@@ -137,8 +137,12 @@ def branch_goals(counts: DataFrame, year: int) -> DataFrame:
 
 
 def monthly_products_pivot(counts: DataFrame, months: Sequence[str]) -> DataFrame:
-    """One row per branch, one column of mean products per listed month-end (ISO text)."""
-    means = branch_month_means(counts).withColumn("_month", F.col(MONTH).cast("string"))
+    """One row per branch, one column of mean products per listed month-end (ISO text).
+
+    The list is the window: other months are not read. :func:`branch_month_means` has all.
+    """
+    listed = counts.where(F.col(MONTH).cast("string").isin(list(months)))
+    means = branch_month_means(listed).withColumn("_month", F.col(MONTH).cast("string"))
     return pivot_agg(means, [BRANCH], "_month", months, F.max("mean_products"))
 
 
@@ -147,9 +151,12 @@ def top_customers_by_products(
     customer_types: DataFrame,
     assignments: DataFrame,
     customer_type: str = "Personal",
-    k: int = 100,
+    k: int | None = None,
 ) -> DataFrame:
-    """Customers of one type with most live direct accounts, with branch and flags."""
+    """Customers of one type by live direct accounts, most first, with branch and flags.
+
+    All of them, or the first ``k``; the order is total, by count and then key.
+    """
     live = base.where(
         F.col("product_group").isin("Deposit", "Lending", "Services")
         & (F.col("ownership_type") == "Direct")
@@ -164,4 +171,7 @@ def top_customers_by_products(
     branch = assignments.select(
         "customer_key", "dynamic_branch_assignment", "is_active", "is_direct"
     )
-    return top_k(counted, "num_prod_svcs", k, ["customer_key"]).join(branch, "customer_key", "left")
+    if k is not None:
+        counted = top_k(counted, "num_prod_svcs", k, ["customer_key"])
+    ranked = counted.join(branch, "customer_key", "left")
+    return ranked.orderBy(F.desc("num_prod_svcs"), "customer_key")

@@ -49,17 +49,22 @@ def snapshot_diff(presence: DataFrame, spine: DataFrame) -> DataFrame:
     last one the customer was on. Nobody is acquired on the first day.
     """
     days = F.broadcast(spine)  # bounded by the calendar, see spines
-    present = presence.select("customer_key", "snapshot_date").distinct()
-    # a customer's rows in this window are bounded by the number of days
-    own = Window.partitionBy("customer_key").orderBy("seq")
-    marked = present.join(days, "snapshot_date").select(
+    # one exchange: a customer's positions are a set bounded by the number of days
+    on = (
+        presence.join(days.select("snapshot_date", "seq"), "snapshot_date")
+        .groupBy("customer_key")
+        .agg(F.sort_array(F.collect_set("seq")).alias("_on"))
+    )
+    first = F.filter("_on", lambda s, i: ~F.get("_on", i - 1).eqNullSafe(s - 1))
+    last = F.filter("_on", lambda s, i: ~F.get("_on", i + 1).eqNullSafe(s + 1))
+    ends = F.explode(F.array_distinct(F.concat(first, last))).alias("seq")
+    marked = on.select("customer_key", first.alias("_first"), last.alias("_last"), ends)
+    marked = marked.join(days, "seq").select(
         "customer_key",
         "snapshot_date",
         "next_date",
-        (F.col("prior_date").isNotNull() & ~F.lag("seq").over(own).eqNullSafe(F.col("seq") - 1))
-        .alias("_gained"),
-        (F.col("next_date").isNotNull() & ~F.lead("seq").over(own).eqNullSafe(F.col("seq") + 1))
-        .alias("_left"),
+        (F.col("prior_date").isNotNull() & F.array_contains("_first", F.col("seq"))).alias("_gained"),
+        (F.col("next_date").isNotNull() & F.array_contains("_last", F.col("seq"))).alias("_left"),
     )
     nothing = F.lit(None).cast("date")
     gained = F.struct(
@@ -183,12 +188,15 @@ def ledger_incremental(
 ) -> DataFrame:
     """Ledger brought up to date with the processing days after ``since``.
 
-    Only those days and the one before them are compared. The result is a new version
+    Only those days and the one before them are compared, and of a tree that is partitioned
+    by day only those are read. The result is a new version
     for :func:`~tallybook.sources.writers.replace_table`; doing it again changes nothing.
     """
     needed = spine.where((F.col("next_date") > as_date(since)) | F.col("next_date").isNull())
-    window = needed.select("snapshot_date")
-    recent = presence.join(F.broadcast(window), "snapshot_date", "left_semi")
+    # a scalar subquery prunes partitions when the plan runs, which a semi join would not
+    done = spine.where(F.col("snapshot_date") <= as_date(since)).agg(F.max("snapshot_date"))
+    start = F.coalesce(done.scalar(), F.lit("0001-01-01").cast("date"))
+    recent = presence.where(F.col("snapshot_date") >= start)
     fresh = F.col("prior_date") >= F.lit(since).cast("date")
     short = needed.withColumn("prior_date", F.when(fresh, F.col("prior_date")))
     events = snapshot_diff(recent, short)

@@ -167,13 +167,14 @@ def anti_join(t: Tables):
 def membership(t: Tables):
     year = F.year("o_orderdate")
     orders = t.raw("orders").select(F.col("o_custkey").alias("customer_key"), year.alias("year"))
+    # every year against the year before it
     known, new = op.split_by_membership(
-        orders.where(F.col("year") == 1999), orders.where(F.col("year") == 1998), "customer_key"
+        orders, orders.withColumn("year", F.col("year") + 1), ["customer_key", "year"]
     )
     return (
         known.withColumn("side", F.lit("existing"))
         .unionByName(new.withColumn("side", F.lit("new")))
-        .groupBy("side", "customer_key").agg(F.count(F.lit(1)).alias("account_count"))
+        .groupBy("side", "year", "customer_key").agg(F.count(F.lit(1)).alias("account_count"))
     )
 
 
@@ -363,10 +364,10 @@ FROM orders LEFT JOIN (SELECT l_orderkey, count(*) AS line_count FROM lineitem G
 SELECT o_orderkey AS account_key, o_orderstatus FROM orders
 WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)"""),
     Report("split_by_membership", membership, """
-SELECT CASE WHEN o_custkey IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) = 1998)
-         THEN 'existing' ELSE 'new' END AS side, o_custkey AS customer_key,
-       count(*) AS account_count
-FROM orders WHERE year(o_orderdate) = 1999 GROUP BY 1, 2"""),
+WITH y AS (SELECT o_custkey AS customer_key, CAST(year(o_orderdate) AS INTEGER) AS year,
+                  count(*) AS account_count FROM orders GROUP BY 1, 2)
+SELECT CASE WHEN p.year IS NULL THEN 'new' ELSE 'existing' END AS side, y.*
+FROM y LEFT JOIN y p ON p.customer_key = y.customer_key AND p.year = y.year - 1"""),
     Report("trailing_window_counts", trailing, """
 SELECT branch_number, snapshot_date, count(*) AS transaction_count
 FROM d_teller JOIN d_month_spine

@@ -175,8 +175,7 @@ def ladder(t: Tables):
 
 
 def monthly(t: Tables):
-    months = ["1999-01-31", "1999-02-28", "1999-03-31", "1999-04-30", "1999-05-31", "1999-06-30"]
-    return _rounded(goals.monthly_products_pivot(counts(t), months))
+    return _rounded(goals.branch_month_means(counts(t)).drop("quarter"))
 
 
 def top_customers(t: Tables):
@@ -438,16 +437,15 @@ SELECT dynamic_branch_name, round(current_year_annual_goal, 6) AS current_year_a
 FROM ({_STDDEV_SQL})"""),
     Report("year_end_counts", lambda t: goals.year_end_counts(counts(t), YEAR - 1), _YEAR_END_SQL),
     Report("goal_ladder", ladder, _ladder_sql()),
-    Report("ppc_monthly", monthly, "SELECT dynamic_branch_name, " + ", ".join(
-        f"round(max(mean_products) FILTER (me_utc_timestamp = DATE '{m}'), 6) AS \"{m}\""
-        for m in ("1999-01-31", "1999-02-28", "1999-03-31", "1999-04-30", "1999-05-31",
-                  "1999-06-30")) + f" FROM ({_MONTH_SQL}) GROUP BY 1"),
+    Report("ppc_monthly", monthly, f"""
+SELECT dynamic_branch_name, me_utc_timestamp, round(mean_products, 6) AS mean_products
+FROM ({_MONTH_SQL})""", dates=("me_utc_timestamp",)),
     Report("top_customers", top_customers, f"""
 SELECT k.*, dynamic_branch_assignment, is_active, is_direct
 FROM (SELECT customer_key, count(DISTINCT account_key) AS num_prod_svcs
       FROM d_base JOIN customer ON c_custkey = customer_key
       WHERE product_group IN ('Deposit', 'Lending', 'Services') AND ownership_type = 'Direct'
         AND conformed_status IN ('OPEN', 'DORMANT') AND c_mktsegment <> 'BUILDING'
-      GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100) k
+      GROUP BY 1) k
 LEFT JOIN ({_DYNAMIC_SQL}) USING (customer_key)"""),
 ]

@@ -58,7 +58,7 @@ def transfers(t: Tables):
 
 def _teller(t: Tables):
     """Branch use of employees; only every other employee works a till."""
-    return t.raw("lineitem").where(F.col("l_returnflag") == "R").select(
+    return t.raw("lineitem").select(
         (F.col("l_partkey") * 2).alias("user_id"),
         F.to_date("l_shipdate").alias("transaction_date"),
         F.pmod("l_suppkey", F.lit(10)).alias("branch_number"),
@@ -146,7 +146,7 @@ def round_trip(t: Tables):
         "letters", F.length("event_type")
     )
     export_csv(kinds, f"{base}/kinds", single_file=True)
-    back = read_snapshots(t.spark, f"{base}/snapshots", "2024-01-03", layout="partitioned")
+    back = read_snapshots(t.spark, f"{base}/snapshots", layout="partitioned")
     names = read_csv(t.spark, f"{base}/kinds", "event_type STRING, letters INT")
     return (
         back.join(names, "event_type")
@@ -160,7 +160,7 @@ def round_trip(t: Tables):
 
 _TELLER_SQL = """
 tr AS (SELECT l_partkey * 2 AS user_id, CAST(l_shipdate AS DATE) AS d, l_suppkey % 10 AS b
-       FROM lineitem WHERE l_returnflag = 'R'),
+       FROM lineitem),
 dd AS (SELECT user_id, d, b FROM tr GROUP BY 1, 2, 3
        QUALIFY row_number() OVER (PARTITION BY user_id, d ORDER BY count(*) DESC, b) = 1),
 oo AS (SELECT user_id, b FROM tr GROUP BY 1, 2
@@ -186,7 +186,8 @@ WITH u AS (
     ORDER BY c_nationkey DESC, 'U' || CAST(c_custkey AS VARCHAR)) = 1),
 l AS (SELECT user_id, """ + ", ".join(
         f"nullif(count(*) FILTER (device || ' - ' || channel = '{m}'), 0) AS \"{m}\""
-        for m in METHODS) + """
+        for m in METHODS) + ", nullif(count(*) FILTER (device || ' - ' || channel NOT IN ("
+    + ", ".join(f"'{m}'" for m in METHODS) + """)), 0) AS other
   FROM d_digital WHERE transaction_type = 'Login' AND device <> 'UNKNOWN'
     AND transaction_date BETWEEN DATE '2024-01-30' - 20 AND DATE '2024-01-30' GROUP BY 1)
 SELECT individual_id, l.* EXCLUDE (user_id) FROM u LEFT JOIN l ON l.user_id = u.user_id"""),
@@ -243,6 +244,6 @@ LEFT JOIN oo ON oo.user_id = t.user_id""", dates=("log_date",)),
 SELECT CAST(ts AS DATE) AS snapshot_date, event_type,
        CAST(length(event_type) AS INTEGER) AS letters, count(*) AS event_count,
        sum(CAST(value AS DECIMAL(18,2))) AS amount
-FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-03' GROUP BY ALL""",
+FROM events GROUP BY ALL""",
            dates=("snapshot_date",), money=("amount",)),
 ]

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.operators import processing_dates, rows_per_snapshot, upsert
@@ -60,17 +63,26 @@ def incremental(t: Tables):
 
 
 def merged(t: Tables):
-    """Month totals of 1999 merged with those of 2000 on the customer."""
-    year = F.year("o_orderdate")
-    orders = t.raw("orders")
-
-    def totals(y: int):
-        return orders.where(year == y).groupBy(F.col("o_custkey").alias("customer_key")).agg(
-            F.count(F.lit(1)).alias("account_count"),
-            F.max(F.to_date("o_orderdate")).alias("last_opened"),
-        )
-
-    return upsert(totals(1999), totals(2000), ["customer_key"], update=["last_opened"])
+    """Totals of every year merged with those of the next on the customer, in all four shapes."""
+    totals = t.raw("orders").groupBy(
+        F.col("o_custkey").alias("customer_key"), F.year("o_orderdate").alias("year")
+    ).agg(
+        F.count(F.lit(1)).alias("account_count"),
+        F.max(F.to_date("o_orderdate")).alias("last_opened"),
+    )
+    following = totals.withColumn("year", F.col("year") - 1)
+    keys = ["customer_key", "year"]
+    shapes = {
+        "update some, insert": {"update": ["last_opened"]},
+        "update only": {"insert": []},
+        "insert only": {"update": []},
+        "update, insert": {},
+    }
+    parts = [
+        upsert(totals, following, keys, **kind).withColumn("shape", F.lit(name))
+        for name, kind in shapes.items()
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def flags(t: Tables):
@@ -151,12 +163,21 @@ SELECT *, CAST(NULL AS DATE) AS most_recent_acquisition_date,
            dates=(*_LEDGER_DATES, "snapshot_date")),
     Report("ledger_incremental", incremental, _FINAL, dates=_LEDGER_DATES),
     Report("upsert", merged, """
-WITH t AS (SELECT o_custkey AS customer_key, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d
-           FROM orders WHERE year(o_orderdate) = 1999 GROUP BY 1),
-s AS (SELECT o_custkey AS customer_key, count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d
-      FROM orders WHERE year(o_orderdate) = 2000 GROUP BY 1)
-SELECT customer_key, coalesce(t.n, s.n) AS account_count, coalesce(s.d, t.d) AS last_opened
-FROM t FULL JOIN s USING (customer_key)""", dates=("last_opened",)),
+WITH t AS (SELECT o_custkey AS customer_key, CAST(year(o_orderdate) AS INTEGER) AS year,
+                  count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1, 2),
+s AS (SELECT customer_key, CAST(year - 1 AS INTEGER) AS year, n, d FROM t)
+SELECT customer_key, year, coalesce(t.n, s.n) AS account_count, coalesce(s.d, t.d) AS last_opened,
+       'update some, insert' AS shape
+FROM t FULL JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update only'
+FROM t LEFT JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(t.n, s.n), coalesce(t.d, s.d), 'insert only'
+FROM t FULL JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update, insert'
+FROM t FULL JOIN s USING (customer_key, year)""", dates=("last_opened",)),
     Report("status_flags", flags, _FLAGS_SQL,
            dates=("snapshot_date", "most_recent_acquisition_date")),
     Report("status_flags_branch", flags_with_branch, f"""

@@ -17,22 +17,40 @@ def _declared(df: DataFrame, schema: StructType | str | None) -> DataFrame:
 
 
 def write_table(
-    df: DataFrame, name: str, mode: str = "overwrite", schema: StructType | str | None = None
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    schema: StructType | str | None = None,
+    partition_by: str | None = None,
 ) -> None:
-    """Overwrite or append a managed parquet table, in its declared schema if given."""
-    _declared(df, schema).write.format("parquet").mode(mode).saveAsTable(name)
+    """Overwrite or append a managed parquet table, in its declared schema if given.
+
+    ``partition_by`` is a column of few values, such as the day, by which reads are pruned.
+    """
+    out = _declared(df, schema)
+    if partition_by is None:
+        out.write.format("parquet").mode(mode).saveAsTable(name)
+    else:
+        rows = out.hint("rebalance", partition_by).write.format("parquet")
+        rows.mode(mode).partitionBy(partition_by).saveAsTable(name)
 
 
 def replace_table(df: DataFrame, name: str) -> None:
     """Replace a table by a DataFrame that may read that same table.
 
     The new version is written beside the old one and then takes its name, so the
-    files being read are never the files being written.
+    files being read are never the files being written. The old version is put aside, not
+    dropped, until the new one has the name: a swap that breaks off is mended by renaming.
     """
     spark = df.sparkSession
     df.write.format("parquet").mode("overwrite").saveAsTable(f"{name}__next")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    existed = spark.catalog.tableExists(name)
+    if existed:
+        spark.sql(f"DROP TABLE IF EXISTS {name}__old")
+        spark.sql(f"ALTER TABLE {name} RENAME TO {name}__old")
     spark.sql(f"ALTER TABLE {name}__next RENAME TO {name}")
+    if existed:
+        spark.sql(f"DROP TABLE {name}__old")
 
 
 def write_snapshot(
@@ -40,12 +58,13 @@ def write_snapshot(
 ) -> None:
     """Write rows under one folder per day, replacing only the days written.
 
-    All days of a many-day result go out in one job; rows of a day are spread over
-    as many files as there are tasks that hold them. Running a day again replaces it.
+    All days of a many-day result go out in one job. Rows are laid out by day first, so the
+    number of files follows the data; a large day still splits. Running a day again replaces it.
     """
     out = df.withColumn(date_col, as_date(day)) if day is not None else df
     (
-        out.write.mode("overwrite")
+        out.hint("rebalance", date_col)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(date_col)
         .parquet(base)

@@ -233,7 +233,10 @@ def test_logins_keep_people_without_any(spark, rows):
     users = values(spark, "(1, 'u0', 1), (1, 'u1', 2), (2, 'u2', 1), (cast(null AS int), 'u9', 1)",
                    "individual_id, user_id, enrolled_at")
     got = digital.login_pivot(trans, users, ["PHONE - App"], "2022-01-31")
-    assert rows(got) == [(1, 1), (2, None)]
+    assert rows(got) == [(1, 1, None), (2, None, None)]
+    got = digital.login_pivot(trans, users, ["TABLET - App"], "2022-01-31")
+    assert got.columns == ["individual_id", "TABLET - App", "other"]
+    assert rows(got) == [(1, None, 1), (2, None, None)]
 
 
 def test_failures_stay_open_until_a_success(spark, rows):
@@ -246,6 +249,12 @@ def test_failures_stay_open_until_a_success(spark, rows):
     fixed = (F.col("kind") == "b") & (F.col("result") == "S")
     got = digital.unrecovered_failures(trans, failed, fixed, profile=["individual_id"])
     assert rows(got) == [(2,)]
+    unknown = values(spark, "(cast(null AS int), 'a', 'F'), (cast(null AS int), 'b', 'S')",
+                     "individual_id, kind, result")
+    got = digital.unrecovered_failures(
+        trans.unionByName(unknown), failed, fixed, profile=["individual_id"]
+    )
+    assert rows(got) == [(2,), (None,)]
     none = digital.users_without_event(trans, F.col("kind") == "a", ["individual_id"])
     assert rows(none) == [(3,)]
 
