@@ -7,10 +7,16 @@ its own. One row holds all pairs of one block of documents for one bucket of key
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import zstandard
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tallybook.llm.words import parts
 
 SCHEMA = "bucket int, data binary, ids binary"
 
@@ -76,3 +82,73 @@ def runs(keys: np.ndarray) -> np.ndarray:
     if not len(keys):
         return np.empty(0, np.int64)
     return np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
+
+
+# Answers to documents: pairs (document, key) travel packed by the place a document is sent to.
+
+LETTERS = "place int, letter binary"
+
+
+def letters(keys: np.ndarray, ids: np.ndarray, places: int) -> Iterator[tuple[int, bytes]]:
+    """Rows of :data:`LETTERS` with the pairs of each place."""
+    known, which = np.unique(ids, return_inverse=True)
+    place = np.array([zlib.crc32(b"%d" % i) % places for i in known.tolist()], np.int64)[which]
+    order = np.lexsort((ids, place))
+    keys, ids, place = keys[order], ids[order], place[order]
+    starts = runs(place)
+    for a, b in zip(starts, [*starts[1:], len(place)], strict=False):
+        steps = np.diff(ids[a:b], prepend=0)
+        raw = _planes(steps).tobytes() + keys[a:b].tobytes()
+        yield int(place[a]), zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def opened(some: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids, sorted, and keys of several letters."""
+    all_ids, all_keys = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for letter in some:
+        raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(letter), np.uint8)
+        half = len(raw) // 2
+        steps = np.ascontiguousarray(raw[:half].reshape(8, -1).T).view(np.int64).ravel()
+        all_ids.append(np.cumsum(steps))
+        all_keys.append(raw[half:].copy().view(np.uint64))
+    ids, keys = np.concatenate(all_ids), np.concatenate(all_keys)
+    order = np.argsort(ids, kind="stable")
+    return ids[order], keys[order]
+
+
+def letter_batch(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [(), ()]
+    arrays = [pa.array(columns[0], pa.int32()), pa.array(columns[1], pa.binary())]
+    return pa.RecordBatch.from_arrays(arrays, ["place", "letter"])
+
+
+def delivered(docs: DataFrame, sent: DataFrame, places: int) -> DataFrame:
+    """Documents (doc_id, text) and letters in one layout, a place's letters before its documents."""
+    address = F.coalesce(F.col("doc_id").cast("string"), F.col("text"), F.lit("")).cast("binary")
+    place = F.pmod(F.crc32(address), F.lit(places)).cast("int").alias("place")
+    none = F.lit(None)
+    rows = docs.select(place, F.lit(1).alias("kind"), "doc_id", "text", none.cast("binary").alias("letter"))
+    more = sent.select("place", F.lit(0), none.cast("bigint"), none.cast("string"), "letter")
+    return rows.union(more).repartition("place").sortWithinPartitions("place", "kind")
+
+
+def answered(
+    batches: Iterator[pa.RecordBatch],
+) -> Iterator[list[tuple[int | None, bytes, np.ndarray]]]:
+    """Documents of :func:`delivered` with their keys: (doc_id, text, keys), in lists."""
+    now, waiting, ids, keys = None, [], None, None
+    for part, texts in parts(batches):
+        out = []
+        columns = [part.column(c).to_pylist() for c in ("place", "doc_id", "letter")]
+        for place, doc_id, letter, text in zip(*columns, texts, strict=True):
+            if place != now:
+                now, waiting, ids = place, [], None
+            if letter is not None:
+                waiting.append(letter)
+                continue
+            if ids is None:
+                ids, keys = opened(waiting)
+                waiting = []
+            a, b = (0, 0) if doc_id is None else np.searchsorted(ids, [doc_id, doc_id + 1])
+            out.append((doc_id, text, keys[a:b]))
+        yield out

@@ -71,8 +71,8 @@ def _body_lists(buckets: int):
             rank = np.arange(len(keys)) - np.repeat(starts, np.diff(np.append(starts, len(keys))))
             rest, owners = np.unique(ids[rank < 2], return_inverse=True)
             rows = list(postings.dealt(keys[rank < 2], owners, rest, buckets))
-            for doc_id, data in _per_document(keys[rank >= 2], ids[rank >= 2]):
-                rows.append((-1 - doc_id % buckets, data, np.int64(doc_id).tobytes()))
+            for place, letter in postings.letters(keys[rank >= 2], ids[rank >= 2], buckets):
+                rows.append((-1 - place, letter, None))
             columns = list(zip(*rows, strict=True)) or [(), (), ()]
             types = (pa.int32(), pa.binary(), pa.binary())
             arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
@@ -81,57 +81,46 @@ def _body_lists(buckets: int):
     return run
 
 
-def _per_document(keys: np.ndarray, ids: np.ndarray) -> list[tuple[int, bytes]]:
-    order = np.argsort(ids, kind="stable")
-    keys, ids = keys[order], ids[order]
-    starts = postings.runs(ids)
-    ends = np.append(starts[1:], len(ids)) if len(starts) else starts
-    return [(int(ids[a]), keys[a:b].tobytes()) for a, b in zip(starts, ends, strict=True)]
+def _shared(buckets: int):
+    """Bodies that two documents have, by document; rows come sorted by bucket."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lists = None, []
 
-def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bodies that two documents have, by document; rows come sorted by bucket."""
-    held, lists = None, []
-
-    def batch_of(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        columns = list(zip(*rows, strict=True)) or [(), ()]
-        arrays = [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.binary())]
-        return pa.RecordBatch.from_arrays(arrays, ["shared_id", "bodies"])
-
-    def decided() -> pa.RecordBatch:
-        keys, ids = postings.gathered(lists)
-        lists.clear()
-        starts = postings.runs(keys)
-        lengths = np.diff(np.append(starts, len(keys)))
-        last = starts + lengths - 1
-        many = np.repeat(ids[starts] != ids[last], lengths)
-        return batch_of(_per_document(keys[many], ids[many]))
-
-    for batch in batches:
-        passed = []
-        for bucket, data, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != held and lists:
-                yield decided()
-            held = bucket
-            if bucket < 0:
-                passed.append((int(np.frombuffer(ids, np.int64)[0]), data))
-            else:
-                lists.append((data, ids))
-        if passed:
-            yield batch_of(passed)
-    if lists:
-        yield decided()
+        def decided() -> pa.RecordBatch:
+            keys, ids = postings.gathered(lists)
+            lists.clear()
+            starts = postings.runs(keys)
+            lengths = np.diff(np.append(starts, len(keys)))
+            many = np.repeat(ids[starts] != ids[starts + lengths - 1], lengths)
+            return postings.letter_batch(list(postings.letters(keys[many], ids[many], buckets)))
+
+        for batch in batches:
+            passed = []
+            for bucket, data, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != held and lists:
+                    yield decided()
+                held = bucket
+                if bucket < 0:
+                    passed.append((-1 - bucket, data))
+                else:
+                    lists.append((data, ids))
+            yield postings.letter_batch(passed)
+        if lists:
+            yield decided()
+
+    return run
 
 
 def _surrounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Suffixes with a shared body, and the hashes of the ``GAP - 1`` words on either side."""
-    for part, texts in parts(batches):
+    for documents in postings.answered(batches):
         rows = []
-        for doc_id, lists, text in zip(
-            part.column("doc_id").to_pylist(), part.column("bodies").to_pylist(), texts, strict=True
-        ):
+        for doc_id, text, shared in documents:
+            if not len(shared):
+                continue
             hashes, at, bodies = _bodies(text)
-            wanted = np.isin(bodies, np.concatenate([np.frombuffer(x, np.uint64) for x in lists]))
+            wanted = np.isin(bodies, shared)
             short = (hashes >> np.uint64(32)).astype("<u4")
             for pos, body in zip(at[wanted].tolist(), bodies[wanted].view(np.int64).tolist(), strict=True):
                 ahead = short[pos + BODY : pos + BODY + GAP - 1].tobytes()
@@ -172,10 +161,8 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     slim = slim.where("doc_id IS NOT NULL")
     lists = slim.mapInArrow(_body_lists(buckets), postings.SCHEMA)
     dealt = lists.repartition("bucket").sortWithinPartitions("bucket")
-    shared = dealt.mapInArrow(_shared, "shared_id bigint, bodies binary")
-    shared = shared.groupBy("shared_id").agg(F.collect_list("bodies").alias("bodies"))
-    joined = slim.join(shared, F.col("doc_id") == F.col("shared_id")).select("doc_id", "bodies", "text")
-    suffixes = stored(joined.mapInArrow(_surrounded, _SUFFIXES), "suffixes")
+    shared = dealt.mapInArrow(_shared(buckets), postings.LETTERS)
+    suffixes = stored(postings.delivered(slim, shared, buckets).mapInArrow(_surrounded, _SUFFIXES), "suffixes")
 
     same = ["body", "ahead", "behind"]
     contexts = suffixes.groupBy(*same).agg(F.count("*").alias("rows"))
