@@ -108,7 +108,12 @@ class AdditiveModel:
 
 
 def fit_nnpu(
-    positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 400, decay: float = 2e-4
+    positive: np.ndarray,
+    unlabelled: np.ndarray,
+    prior: float,
+    steps: int = 1500,
+    rate: float = 0.2,
+    decay: float = 2e-5,
 ) -> AdditiveModel:
     """Full-batch Adam on the non-negative risk with the logistic loss."""
     both = np.concatenate([positive, unlabelled])
@@ -136,7 +141,7 @@ def fit_nnpu(
         g[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
-        w -= 0.05 * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     model.weights, model.bias = w[:-1].reshape(-1, _BINS), float(w[-1])
     return model
 
