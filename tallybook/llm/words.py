@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 
 #: Odd multiplier of the rolling polynomial; arithmetic is modulo 2**64.
@@ -66,12 +67,13 @@ def parts(
     """
     for batch in batches:
         at = batch.schema.get_field_index("text")
-        sizes = batch.column(at).cast(pa.binary())
-        ends = np.cumsum([len(x) if x is not None else 0 for x in sizes.to_numpy(False)])
+        texts = batch.column(at).cast(pa.binary())
+        lengths = pc.fill_null(pc.binary_length(texts), 0)
+        ends = np.cumsum(lengths.to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             done = ends[start - 1] if start else 0
             stop = max(start + 1, int(np.searchsorted(ends, done + limit, "right")))
             piece = batch.slice(start, stop - start)
-            yield piece, [x or b"" for x in sizes.slice(start, stop - start).to_pylist()]
+            yield piece, [x or b"" for x in texts.slice(start, stop - start).to_pylist()]
             start = stop
