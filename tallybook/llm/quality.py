@@ -27,7 +27,7 @@ from tallybook.llm.frames import keep_documents, stored
 from tallybook.llm.words import parts, window_hashes, word_hashes
 
 #: Rows, about, that the fit takes of the positives and of the unlabelled rows.
-SAMPLE_ROWS = 20_000
+SAMPLE_ROWS = 8_000
 #: A document with a lower score is rejected.
 THRESHOLD = 0.3
 _BINS = 24
