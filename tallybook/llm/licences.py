@@ -8,6 +8,8 @@ bigrams, each template listed under every number it admits; and they must share
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,20 +85,21 @@ def licence_notices(
     repeat are reported each; a null id stays null. Other columns are not read.
     """
     table = template_table(docs.sparkSession, templates, dice)
-    # the longest unit that any template admits, in bigrams; a word has at least one character
-    most = int(max(len(text.split()) for _, text in templates) * 2 * (2 - dice) / dice) + 1
+    # a unit has at least as many distinct bigrams as distinct words but one
+    longest = max(len(re.split("[^0-9A-Za-z]+", text)) for _, text in templates)
+    most = int(longest * (2 - dice) / dice) + 1
     lines = F.split(F.coalesce(F.col(text_col), F.lit("")), "\n")
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), lines.alias("lines"))
     slim = slim.withColumn("row", F.monotonically_increasing_id())
-    cheap = lambda unit: F.size(F.split(F.trim(unit), r"\s+")) <= most
     numbered = slim.select("row", "doc_id", F.posexplode("lines").alias("at", "unit"))
     numbered = numbered.withColumn("line", F.col("at") + 1)
     whole = slim.where(F.size("lines") > 1).select(
         "row", "doc_id", F.lit(0).alias("line"), F.array_join("lines", " ").alias("unit")
     )
     units = numbered.select("row", "doc_id", "line", "unit").union(whole)
-    units = units.where(F.length("unit") >= 3).where(cheap(F.col("unit")))
-    units = units.withColumn("bigrams", _bigrams(_words(F.col("unit"))))
+    units = units.where(F.length("unit") >= 3).select("row", "doc_id", "line", _words(F.col("unit")).alias("words"))
+    units = units.where(F.size(F.array_distinct("words")) <= most)
+    units = units.withColumn("bigrams", _bigrams(F.col("words"))).drop("words")
     units = units.withColumn("n", F.size("bigrams")).where("n > 0")
     met = units.join(F.broadcast(table), F.col("n") == F.col("meets"))
     met = met.where(F.arrays_overlap("bigrams", "own"))

@@ -274,7 +274,7 @@ def test_written_shards(spark, tmp_path):
 def test_licence_bounds(spark):
     rows = [
         (1, "x\nLicensed under CC BY-NC 4.0.\ny"), (2, "licensed UNDER the mit license"), (3, None), (4, ""),
-        (5, "Released under the MIT License. " * 2), (6, "All rights reserved. ©"), (7, "all"), (8, "Licensed under CC BY 3.0"),
+        (5, "Released under the MIT License. " * 300), (9, "Released * * * * * * under the" + " *" * 400 + " MIT License"), (6, "All rights reserved. ©"), (7, "all"), (8, "Licensed under CC BY 3.0"),
     ]
     found = licences.licence_notices(frame(spark, rows)).collect()
     assert {(r.doc_id, r.line, r.licence, round(r.dice, 9)) for r in found} == brute.dice_matches(
