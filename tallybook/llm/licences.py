@@ -60,10 +60,11 @@ def _bigrams(words: Column) -> Column:
 
 def template_table(spark: SparkSession, templates=TEMPLATES, dice: float = DICE) -> DataFrame:
     """Templates by every number of bigrams they admit: licence, template, size, meets, bigrams."""
-    raw = spark.createDataFrame(
-        [(k, name, text) for k, (name, text) in enumerate(templates)],
-        "template int, licence string, notice string",
-    )
+    rows = [
+        F.struct(F.lit(k).alias("template"), F.lit(name).alias("licence"), F.lit(text).alias("notice"))
+        for k, (name, text) in enumerate(templates)
+    ]
+    raw = spark.range(1).select(F.inline(F.array(*rows)))
     table = raw.select("template", "licence", _bigrams(_words(F.col("notice"))).alias("own"))
     table = table.withColumn("size", F.size("own")).where("size > 0")
     low = F.ceil(F.col("size") * (dice / (2 - dice)) - 1e-9).cast("int")
