@@ -247,6 +247,21 @@ def best_worst_result(campaign: DataFrame, order: Sequence[str] = tuple(OUTCOMES
     )
 
 
+def campaign_results_assembled(campaign: DataFrame) -> DataFrame:
+    """Every campaign row with its customer's first dates, receipt, best and worst outcome.
+
+    The three summaries hold one row per customer and are laid out alike, so they meet
+    where they are and the campaign rows are joined once.
+    """
+    key = "customer_key"
+    summary = (
+        first_touch(campaign)
+        .join(channel_receipt(campaign), key)
+        .join(best_worst_result(campaign), key)
+    )
+    return campaign.join(summary, key, "left")
+
+
 def loan_performance(
     loans: DataFrame,
     attribution: DataFrame,

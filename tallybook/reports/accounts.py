@@ -25,7 +25,7 @@ def conformed_columns(t: Tables):
 
 def unknown_kept(t: Tables):
     kept = conform.conformed_accounts(t.accounts, t.codes, default=None)
-    return kept.groupBy("conformed_status").agg(F.count(F.lit(1)).alias("account_count"))
+    return kept.select("account_key", "status_key", "conformed_status")
 
 
 def direct_owners(t: Tables):
@@ -39,8 +39,7 @@ def direct_owners(t: Tables):
 
 
 def legacy_flags(t: Tables):
-    flags = conform.activity_flags(base(t), legacy_active=True)
-    return flags.groupBy("is_active", "is_direct").agg(F.count(F.lit(1)).alias("customer_count"))
+    return conform.activity_flags(base(t), legacy_active=True)
 
 
 def business(t: Tables):
@@ -199,8 +198,8 @@ REPORTS = [
     Report("conformed_accounts", conformed_columns, """
 SELECT account_key, status_key, conformed_status FROM d_conformed"""),
     Report("unmatched_status_kept", unknown_kept, """
-SELECT conformed_status, count(*) AS account_count
-FROM d_accounts LEFT JOIN d_status USING (status_key) GROUP BY 1"""),
+SELECT account_key, status_key, conformed_status
+FROM d_accounts LEFT JOIN d_status USING (status_key)"""),
     Report("relationship_base", base, "SELECT * FROM d_base"),
     Report("direct_relationships", direct_owners, """
 SELECT account_key, customer_key, product_group, conformed_status, primary_customer_flag
@@ -215,11 +214,10 @@ SELECT customer_key,
            AND product_group IN ('Deposit', 'Lending') THEN 'Y' ELSE 'N' END) AS is_direct
 FROM d_base GROUP BY 1"""),
     Report("activity_flags_legacy", legacy_flags, """
-SELECT is_active, is_direct, count(*) AS customer_count FROM (
-  SELECT customer_key, 'Y' AS is_active,
-         max(CASE WHEN conformed_status IN ('OPEN', 'DORMANT') AND ownership_type = 'Direct'
-             AND product_group IN ('Deposit', 'Lending') THEN 'Y' ELSE 'N' END) AS is_direct
-  FROM d_base GROUP BY 1) GROUP BY ALL"""),
+SELECT customer_key, 'Y' AS is_active,
+       max(CASE WHEN conformed_status IN ('OPEN', 'DORMANT') AND ownership_type = 'Direct'
+           AND product_group IN ('Deposit', 'Lending') THEN 'Y' ELSE 'N' END) AS is_direct
+FROM d_base GROUP BY 1"""),
     Report("business_accounts", business, """
 SELECT account_key, product_key, conformed_status,
        CASE WHEN product_key = '1-55-' THEN 1 ELSE 0 END AS merchant_services_flag

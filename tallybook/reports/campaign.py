@@ -71,10 +71,6 @@ def clean(t: Tables):
     )
 
 
-def clean_columns(t: Tables):
-    return clean(t).drop("mail_result", "campaign_result")
-
-
 def booked(t: Tables):
     return campaign.booked_after_flags(t.booked_loans, campaign.first_touch(clean(t)))
 
@@ -132,6 +128,17 @@ _RANK = """CASE campaign_result WHEN ':failed' THEN 3 WHEN ':reached' THEN 4
  WHEN ':engaged' THEN 5 WHEN ':lead' THEN 6 WHEN ':converted' THEN 7 END"""
 _NAMES = "['unsubscribed','dismissed','no-contact','failed','reached','engaged','lead','converted']"
 
+_CLEAN_SQL = """
+SELECT customer_key, visit_key, contact_day AS first_contact_date,
+       clicked_day AS first_clicked_date, banner_day AS first_banner_viewed_date,
+       contact_day AS last_result_date, result_channel, banners_viewed, cp_model_group,
+       contact_day AS upload_date, mail_result, campaign_result
+FROM d_touches"""
+_CLEAN_DATES = (
+    "first_contact_date", "first_clicked_date", "first_banner_viewed_date", "last_result_date",
+    "upload_date",
+)
+
 REPORTS = [
     Report("eligible_base", eligible, _ELIGIBLE_SQL),
     Report("segment_customers", segments, _SEGMENT_SQL),
@@ -153,13 +160,25 @@ SELECT customer_key, cp_model_group, DATE '{AS_OF}' AS cp_model_date
 FROM ({_SEGMENT_SQL}) WHERE prediction = '1' AND customer_key IN (
   SELECT c_custkey FROM customer WHERE c_acctbal >= 0
     AND c_mktsegment IN ('BUILDING', 'FURNITURE', 'MACHINERY'))""", dates=("cp_model_date",)),
-    Report("campaign_clean", clean_columns, """
-SELECT customer_key, visit_key, contact_day AS first_contact_date,
-       clicked_day AS first_clicked_date, banner_day AS first_banner_viewed_date,
-       contact_day AS last_result_date, result_channel, banners_viewed, cp_model_group,
-       contact_day AS upload_date
-FROM d_touches""", dates=("first_contact_date", "first_clicked_date", "first_banner_viewed_date",
-                          "last_result_date", "upload_date")),
+    Report("campaign_clean", clean, _CLEAN_SQL, dates=_CLEAN_DATES),
+    Report("campaign_assembled",
+           lambda t: campaign.campaign_results_assembled(clean(t)), f"""
+WITH r AS (
+  SELECT customer_key,
+         CASE WHEN coalesce(sum(banners_viewed), 0) > 0 THEN 'yes' ELSE 'no' END
+           AS banner_received,
+         CASE WHEN bool_or(mail_result IS NULL
+           OR mail_result NOT IN (':no-contact', ':failed', ':reached')) THEN 'yes' ELSE 'no' END
+           AS mail_received,
+         {_NAMES}[CAST(max({_RANK}) + 1 AS INTEGER)] AS campaign_result_best,
+         {_NAMES}[CAST(min({_RANK}) + 1 AS INTEGER)] AS campaign_result_worst
+  FROM d_touches GROUP BY 1)
+SELECT c.*, f.* EXCLUDE (customer_key), r.* EXCLUDE (customer_key),
+       CASE banner_received || mail_received WHEN 'yesyes' THEN 'banner and mail'
+         WHEN 'yesno' THEN 'banner only' WHEN 'noyes' THEN 'mail only' ELSE 'none' END
+         AS marketing_received
+FROM ({_CLEAN_SQL}) c JOIN d_first_touch f USING (customer_key) JOIN r USING (customer_key)""",
+           dates=(*_CLEAN_DATES, "first_marketing_date", "first_marketing_open")),
     Report("first_touch", lambda t: campaign.first_touch(clean(t)), "SELECT * FROM d_first_touch",
            dates=("first_marketing_date", "first_marketing_open")),
     Report("booked_after", booked, """

@@ -10,7 +10,15 @@ from tallybook.plans import digital
 from tallybook.reports.report import Report
 from tallybook.reports.shapes import Tables
 from tallybook.session import shared_dir
-from tallybook.sources import export_csv, read_csv, read_snapshots, write_snapshot
+from tallybook.sources import (
+    copy_tables,
+    export_csv,
+    read_csv,
+    read_snapshots,
+    replace_table,
+    write_snapshot,
+    write_table,
+)
 
 METHODS = [f"{d} - {c}" for d in ("PHONE", "TABLET", "DESKTOP") for c in
            ("Browser", "Mobile", "App")]
@@ -158,6 +166,25 @@ def round_trip(t: Tables):
     )
 
 
+def _daily_events(t: Tables):
+    return t.raw("events").select(
+        "event_id", "event_type", F.to_date("ts").alias("snapshot_date")
+    )
+
+
+def tables(t: Tables):
+    """A table written whole, appended by a day, replaced by a version of itself, and copied."""
+    name = f"events_{uuid.uuid4().hex}"
+    events, day = _daily_events(t), F.lit("2024-01-20").cast("date")
+    write_table(events.where(F.col("snapshot_date") < day), name, partition_by="snapshot_date")
+    for later in (F.col("snapshot_date") == day, F.col("snapshot_date") > day):
+        write_table(events.where(later), name, "append", partition_by="snapshot_date")
+    replace_table(t.spark.read.table(name).withColumn("version", F.lit(2)), name)
+    t.spark.sql(f"CREATE DATABASE IF NOT EXISTS copy_of_{name}")
+    (copied,) = copy_tables(t.spark, [name], f"copy_of_{name}")
+    return t.spark.read.table(copied)
+
+
 _TELLER_SQL = """
 tr AS (SELECT l_partkey * 2 AS user_id, CAST(l_shipdate AS DATE) AS d, l_suppkey % 10 AS b
        FROM lineitem),
@@ -246,4 +273,7 @@ SELECT CAST(ts AS DATE) AS snapshot_date, event_type,
        sum(CAST(value AS DECIMAL(18,2))) AS amount
 FROM events GROUP BY ALL""",
            dates=("snapshot_date",), money=("amount",)),
+    Report("table_roundtrip", tables, """
+SELECT event_id, event_type, CAST(ts AS DATE) AS snapshot_date, 2 AS version FROM events""",
+           dates=("snapshot_date",)),
 ]
