@@ -111,11 +111,14 @@ def fit_nnpu(
     positive: np.ndarray,
     unlabelled: np.ndarray,
     prior: float,
-    steps: int = 1500,
-    rate: float = 0.2,
-    decay: float = 2e-5,
+    steps: int = 1000,
+    rate: float = 0.1,
+    decay: float = 1e-4,
 ) -> AdditiveModel:
-    """Full-batch Adam on the non-negative risk with the logistic loss."""
+    """Full-batch Adam on the non-negative risk with the sigmoid loss; steps shrink to nothing.
+
+    The loss is bounded, so the estimated risk on negatives has little noise.
+    """
     both = np.concatenate([positive, unlabelled])
     marks = np.linspace(0, 1, _BINS + 1)[1:-1]
     edges = np.quantile(both, marks, axis=0).T.astype(np.float32)
@@ -135,13 +138,14 @@ def fit_nnpu(
     for step in range(1, steps + 1):
         f_p, f_u = (w[:-1][b].sum(1) + w[-1] for b in bins)
         s_p, s_u = 1 / (1 + np.exp(-f_p)), 1 / (1 + np.exp(-f_u))
-        negative = np.logaddexp(0, f_u).mean() - prior * np.logaddexp(0, f_p).mean()
-        rest = gradient(1, s_u) - prior * gradient(0, s_p)
-        g = prior * gradient(0, s_p - 1) + rest if negative >= 0 else -rest
+        d_p, d_u = s_p * (1 - s_p), s_u * (1 - s_u)
+        negative = s_u.mean() - prior * s_p.mean()
+        rest = gradient(1, d_u) - prior * gradient(0, d_p)
+        g = rest - prior * gradient(0, d_p) if negative >= 0 else -rest
         g[:-1] += decay * w[:-1]
         first = 0.9 * first + 0.1 * g
         second = 0.999 * second + 0.001 * g * g
-        w -= rate * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
+        w -= rate * (1 - (step - 1) / steps) * (first / (1 - 0.9**step)) / (np.sqrt(second / (1 - 0.999**step)) + 1e-8)
     model.weights, model.bias = w[:-1].reshape(-1, _BINS), float(w[-1])
     return model
 
