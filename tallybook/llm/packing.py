@@ -24,6 +24,8 @@ OPEN_BINS = 16_384
 END_ID = 1
 _CACHED_WORDS = 600_000
 _PART_BYTES = 4 << 20
+_JOINED_WORDS = 500
+_MARKS = bytes(k for k in range(33, 127) if not chr(k).isalnum())
 _CACHED_BYTES = 64  # longer words are rare and not kept
 
 
@@ -40,28 +42,61 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.bar = int(np.frombuffer(self._encode(["|"])[0], "<u4")[0])
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, "<u4").tobytes() for e in encoded]
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters alone, many in one call with a bar between them."""
+        out = []
+        for k in range(0, len(words), _JOINED_WORDS):
+            ids = np.frombuffer(self._encode([" | ".join(words[k : k + _JOINED_WORDS])])[0], "<u4")
+            ends = np.append(np.flatnonzero(ids == self.bar), len(ids)).tolist()
+            starts = [0, *(e + 1 for e in ends[:-1])]
+            out += [ids[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
+        return out
+
+    def _learn(self, words: set[bytes]) -> list[bytes]:
+        """Adds the ids of unknown words; returns the words and parts of words that were added.
+
+        Marks after a last letter or digit never join with it, so such a word is two parts.
+        """
+        known, split, new = self.known, {}, set()
+        for word in words:
+            body = word.rstrip(_MARKS)
+            if len(body) < len(word) and body[-1:].isalnum():
+                split[word] = body, word[len(body) :]
+                new.update(split[word])
+            else:
+                new.add(word)
+        new.difference_update(known)
+        texts = {w: w.decode() for w in new}
+        letters = [w for w, t in texts.items() if t.isalpha()]
+        known.update(zip(letters, self._encode_letters([texts[w] for w in letters]), strict=True))
+        others = [w for w, t in texts.items() if not t.isalpha()]
+        known.update(zip(others, self._encode([texts[w] for w in others]), strict=True))
+        known.update((w, known[a] + known[b]) for w, (a, b) in split.items())
+        return [*new, *split]
+
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each UTF-8 text."""
         known = self.known
         split = [None if b"<|" in t else t.lower().split() for t in texts]
-        unknown = set()
-        for words in split:
-            unknown.update(words or ())
-        unknown = list(unknown.difference(known))
+        words = set()
+        for own in split:
+            words.update(own or ())
+        unknown = words.difference(known)
         if len(known) + len(unknown) > _CACHED_WORDS:
             known.clear()
-            unknown = list({w for words in split for w in words or ()})
-        known.update(zip(unknown, self._encode([w.decode() for w in unknown]), strict=True))
+            unknown = words
+        learned = self._learn(unknown)
         out = [
-            self._encode([t.decode()])[0] if words is None else b"".join(map(known.__getitem__, words))
-            for t, words in zip(texts, split, strict=True)
+            self._encode([t.decode()])[0] if own is None else b"".join(map(known.__getitem__, own))
+            for t, own in zip(texts, split, strict=True)
         ]
-        for word in unknown:
+        for word in learned:
             if len(word) > _CACHED_BYTES:
                 del known[word]
         return out
