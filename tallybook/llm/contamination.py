@@ -212,8 +212,8 @@ def drop_leaks(
 ) -> DataFrame:
     """Rows of ``docs``, all columns, that hold no item; rows without an id are judged together."""
     found = benchmark_leaks(docs, benchmark, id_col=id_col, text_col=text_col)
-    bad = found.select(F.col("doc_id").alias("__bad_id")).distinct()
-    same = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__bad_id"))
+    bad = found.select(F.col("doc_id").alias("id")).distinct().alias("__bad")
+    same = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__bad.id"))
     return docs.alias("__docs").join(bad, same, "left_anti").select("__docs.*")
 
 

@@ -31,8 +31,8 @@ def keep_documents(docs: DataFrame, kept: DataFrame, id_col: str = "doc_id") ->
 
     Rows that repeat an id are one document and share its fate.
     """
-    wanted = kept.select(F.col(id_col).alias("__kept_id"))
-    same: Column = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__kept_id"))
+    wanted = kept.select(F.col(id_col).alias("id")).alias("__kept")
+    same: Column = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__kept.id"))
     return docs.alias("__docs").join(wanted, same, "left_semi").select("__docs.*")
 
 

@@ -109,7 +109,7 @@ def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: s
     """``docs`` as Parquet, one folder ``shard=bits-prefix-page`` per shard; ids must be unique."""
     found = extendible_shards(docs, limit, id_col, text_col)
     name = F.concat_ws("-", "bits", "prefix", "page").alias("shard")
-    named = found.select(F.col("doc_id").alias("__id"), name)
-    same = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__id"))
-    rows = docs.alias("__docs").join(named, same).select("__docs.*", "shard")
+    named = found.select(F.col("doc_id").alias("id"), name).alias("__named")
+    same = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__named.id"))
+    rows = docs.alias("__docs").join(named, same).select("__docs.*", "__named.shard")
     rows.repartition("shard").write.partitionBy("shard").parquet(path)
