@@ -24,18 +24,6 @@ WINDOW_WORDS = 13
 #: Key buckets for each shuffle partition; more of them need less memory per bucket.
 BUCKETS_PER_PARTITION = 4
 _FLUSH_WINDOWS = 2_000_000
-_FLAGGED = "doc_id bigint, windows binary"
-
-
-def _by_document(keys: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
-    """One row a document with its keys as bytes; the pairs are sorted here."""
-    order = np.argsort(ids, kind="stable")
-    keys, ids = keys[order], ids[order]
-    starts = postings.runs(ids)
-    ends = np.append(starts[1:], len(ids)) if len(starts) else starts
-    data = [keys[a:b].tobytes() for a, b in zip(starts, ends, strict=True)]
-    arrays = [pa.array(ids[starts], pa.int64()), pa.array(data, pa.binary())]
-    return pa.RecordBatch.from_arrays(arrays, ["doc_id", "windows"])
 
 
 def _window_lists(size: int, buckets: int):
@@ -55,11 +43,9 @@ def _window_lists(size: int, buckets: int):
             known = ids > ids[smallest]  # a smaller id of this very block has the window too
             rest, owners = np.unique(ids[first], return_inverse=True)
             rows = list(postings.dealt(keys[first], owners, rest, buckets))
-            if known.any():
-                flagged = _by_document(keys[known], ids[known])
-                # they pass through to the documents with the lists of some bucket
-                for doc_id, data in zip(*(c.to_pylist() for c in flagged.columns), strict=True):
-                    rows.append((-1 - doc_id % buckets, data, np.int64(doc_id).tobytes()))
+            # these need no other block; they pass through to their documents
+            for place, letter in postings.letters(keys[known], ids[known], buckets):
+                rows.append((-1 - place, letter, None))
             types = (pa.int32(), pa.binary(), pa.binary())
             columns = zip(types, zip(*rows, strict=True), strict=True) if rows else zip(types, ([],) * 3)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for t, c in columns], ["bucket", "data", "ids"])
@@ -67,42 +53,46 @@ def _window_lists(size: int, buckets: int):
     return run
 
 
-def _flag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _flag(buckets: int):
     """Windows of documents that do not hold their smallest id; rows come sorted by bucket."""
-    held, lists, later_keys, later_ids = None, [], [], []
-
-    def decide() -> None:
-        keys, ids = postings.gathered(lists)
-        lists.clear()
-        starts = postings.runs(keys)
-        lengths = np.diff(np.append(starts, len(keys)))
-        later = ids > np.repeat(ids[starts], lengths)
-        later_keys.append(keys[later])
-        later_ids.append(ids[later])
-
-    def results() -> pa.RecordBatch:
-        out = _by_document(np.concatenate(later_keys), np.concatenate(later_ids))
-        later_keys.clear()
-        later_ids.clear()
-        return out
-
-    for batch in batches:
-        for bucket, data, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != held and lists:
-                decide()
-                if sum(map(len, later_keys)) > _FLUSH_WINDOWS:
-                    yield results()
-            held = bucket
-            if bucket < 0:
-                keys = np.frombuffer(data, np.uint64)
-                later_keys.append(keys)
-                later_ids.append(np.repeat(np.frombuffer(ids, np.int64), len(keys)))
-            else:
-                lists.append((data, ids))
-    if lists:
-        decide()
-    if later_keys:
-        yield results()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, lists, later_keys, later_ids = None, [], [], []
+
+        def decide() -> None:
+            keys, ids = postings.gathered(lists)
+            lists.clear()
+            starts = postings.runs(keys)
+            lengths = np.diff(np.append(starts, len(keys)))
+            later = ids > np.repeat(ids[starts], lengths)
+            later_keys.append(keys[later])
+            later_ids.append(ids[later])
+
+        def results() -> pa.RecordBatch:
+            keys, ids = np.concatenate(later_keys), np.concatenate(later_ids)
+            later_keys.clear()
+            later_ids.clear()
+            return postings.letter_batch(list(postings.letters(keys, ids, buckets)))
+
+        for batch in batches:
+            passed = []
+            for bucket, data, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if bucket != held and lists:
+                    decide()
+                    if sum(map(len, later_keys)) > _FLUSH_WINDOWS:
+                        yield results()
+                held = bucket
+                if bucket < 0:
+                    passed.append((-1 - bucket, data))
+                else:
+                    lists.append((data, ids))
+            yield postings.letter_batch(passed)
+        if lists:
+            decide()
+        if later_keys:
+            yield results()
+
+    return run
 
 
 def covered_intervals(hashes: np.ndarray, flagged: np.ndarray, size: int) -> list[tuple[int, int]]:
@@ -122,21 +112,19 @@ def _removed(size: int):
     span = pa.struct([("start", pa.int32()), ("end", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in parts(batches):
-            counts, intervals, kept = [], [], []
-            for lists, text in zip(part.column("windows").to_pylist(), texts, strict=True):
+        for rows in postings.answered(batches):
+            ids, counts, intervals, kept = [], [], [], []
+            for doc_id, text, flagged in rows:
                 words = text.split()
-                found = []
-                if lists:
-                    flagged = np.concatenate([np.frombuffer(x, np.uint64) for x in lists])
-                    found = covered_intervals(word_hashes(words), flagged, size)
+                found = covered_intervals(word_hashes(words), flagged, size) if len(flagged) else []
+                ids.append(doc_id)
                 counts.append(len(words))
                 intervals.append([{"start": a, "end": b} for a, b in found])
                 for a, b in reversed(found):
                     del words[a:b]
                 kept.append(b" ".join(words).decode())
             arrays = [
-                part.column("doc_id"),
+                pa.array(ids, pa.int64()),
                 pa.array(counts, pa.int64()),
                 pa.array(intervals, pa.list_(span)),
                 pa.array(kept, pa.string()),
@@ -161,8 +149,6 @@ def remove_repeated_windows(
     known = slim.where("doc_id IS NOT NULL")
     lists = known.mapInArrow(_window_lists(size, buckets), postings.SCHEMA)
     dealt = lists.repartition("bucket").sortWithinPartitions("bucket")
-    flagged = dealt.mapInArrow(_flag, _FLAGGED)
-    flagged = flagged.groupBy(F.col("doc_id").alias("flagged_id")).agg(F.collect_list("windows").alias("windows"))
-    joined = slim.join(flagged, F.col("doc_id") == F.col("flagged_id"), "left")
+    flagged = dealt.mapInArrow(_flag(buckets), postings.LETTERS)
     kinds = "doc_id bigint, n_words bigint, intervals array<struct<start: int, end: int>>, kept string"
-    return joined.select("doc_id", "text", "windows").mapInArrow(_removed(size), kinds)
+    return postings.delivered(slim, flagged, buckets).mapInArrow(_removed(size), kinds)
