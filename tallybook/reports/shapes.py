@@ -116,7 +116,9 @@ class Tables:
     @cached_property
     def daily_codes(self) -> DataFrame:
         """The codes as a feed with one extract per processing day."""
-        keys = F.explode(F.array(*[F.lit(k) for k in ("AF", "AO", "NF", "NO", "RF", "RO")]))
+        # one entry per status code, few whatever the size of the feed
+        codes = self.raw("lineitem").agg(F.collect_set(F.concat("l_returnflag", "l_linestatus")))
+        keys = F.explode(F.sort_array(codes.scalar()))
         days = self.month_spine.select("snapshot_date", keys.alias("_key"))
         return days.select(*code_columns(F.col("_key")), "snapshot_date")
 
