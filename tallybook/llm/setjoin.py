@@ -1,8 +1,9 @@
 """Jaccard self-join of shingle sets: size-aware, with a heavy and a light way.
 
 1. Screen. A document of n shingles that has a partner shares most of its shingles. The first
-   half of each set, in hash order, goes through Spark's shuffle as compact lists; sets with
-   too few shared shingles there are linked with nothing and leave. Equal sets count once.
+   n // 2 + 1 of each set, in hash order, go through Spark's shuffle as compact lists; sets with
+   too few shared shingles there are linked with nothing and leave. What a partner does not
+   publish is allowed for, see ``_least_shared``. Equal sets count once.
 2. Order. The sets that stay are stored. A sketch of fixed size counts all their shingles, and each set
    is ordered by (count, hash): rare shingles first. Any fixed order is right; this one keeps a
    passage that a third of all documents share out of the prefixes.
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallybook.llm import postings
@@ -55,8 +56,22 @@ def _linked(common: np.ndarray, a: int | np.ndarray, b: int | np.ndarray, percen
 
 
 def _screened(n: int, percent: int) -> int:
-    """Size of the part of a set that the screen reads: half of it, or its prefix if larger."""
-    return max(n - needed(n, percent) + 1, (n + 1) // 2) if n else 0
+    """Size of the part of a set that the screen reads: over half of it, or its prefix if larger."""
+    return max(n - needed(n, percent) + 1, n // 2 + 1) if n else 0
+
+
+def _least_shared(n: Column, percent: int) -> Column:
+    """Screened elements that a set of ``n`` shares at least with what any partner has published.
+
+    A pair with c common elements publishes c less the larger unread part of the two in common, and
+    c is at least ``needed`` of the larger set. That is least for a partner of the same size or of one
+    more: from any size to the second next, ``needed`` grows by one at least and the unread part by one.
+    """
+
+    def left(size: Column) -> Column:
+        return F.ceil(size * percent / 100) - F.ceil(size / 2) + 1
+
+    return F.greatest(F.least(left(n), left(n + 1)), F.lit(1))
 
 
 # 1. Screen
@@ -396,9 +411,8 @@ def similar_documents(
     some = all_sets.where("n > 0 AND doc_id IS NOT NULL")
     firsts = some.groupBy("name").agg(F.min("doc_id").alias("rid"), F.min("n").alias("n"), F.min("short").alias("short"))
     shared = screen.where("shared IS NOT NULL").groupBy(F.col("short").alias("of")).agg(F.sum("shared").alias("shared"))
-    need = F.ceil(F.col("n") * percent / 100)
-    read = F.greatest(F.col("n") - need + 1, F.ceil(F.col("n") / 2))
-    stay = firsts.join(shared, F.col("short") == F.col("of")).where(F.col("shared") >= need - (F.col("n") - read))
+    stay = firsts.join(shared, F.col("short") == F.col("of"))
+    stay = stay.where(F.col("shared") >= _least_shared(F.col("n"), percent))
     again = slim.join(stay.select("rid", "name"), F.col("doc_id") == F.col("rid"))
     sets = stored(again.select("rid", "name", "text").mapInArrow(_stored_sets(size), _SETS), "sets")
 

@@ -167,6 +167,32 @@ def test_components_of_near_copies(spark, monkeypatch, block):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.components(rows)
 
 
+@pytest.mark.parametrize("percent", [75, 60])
+def test_components_of_texts_within_texts(spark, percent):
+    """Pairs alone with their shingles: a short text, and the same with a word before or behind it."""
+    rnd = random.Random(percent)
+    rows = []
+    for group in range(300):
+        words = [f"g{group}w{k}{rnd.random()}" for k in range(rnd.choice([6, 7, 7, 7, 8, 9, 11]))]
+        for text in (words, [f"g{group}", *words] if group % 2 else [*words, f"g{group}"]):
+            rows.append((len(rows), " ".join(text)))
+    found = setjoin.similar_documents(frame(spark, rows).repartition(3), percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == brute.components(rows, percent)
+
+
+def test_screen_allows_for_what_partners_leave_out(spark):
+    """Least overlap of published parts, over all sizes of a linked pair, against the screen's demand."""
+    sizes = range(1, 121)
+    for percent in (51, 55, 60, 67, 75, 80, 90, 100):
+        demand = spark.range(1, 121).select(setjoin._least_shared(F.col("id"), percent).alias("x")).collect()
+        demand = {n: r.x for n, r in zip(sizes, demand, strict=True)}
+        unread = {n: n - setjoin._screened(n, percent) for n in sizes}
+        for n in sizes:
+            for m in range(n, min(120, 100 * n // percent) + 1):
+                common = -(-percent * (n + m) // (100 + percent))
+                assert common - max(unread[n], unread[m]) >= max(demand[n], demand[m]) >= 1, (percent, n, m)
+
+
 def test_join_refuses_low_similarity(spark):
     with pytest.raises(ValueError):
         setjoin.similar_documents(frame(spark, []), percent=50)
