@@ -7,14 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallybook.llm.collocations import collocations
 from tallybook.llm.contamination import benchmark_leaks
 from tallybook.llm.exact import exact_duplicates
+from tallybook.llm.fingerprints import edited_sketches, resemblance, sketch_text
 from tallybook.llm.frames import read_table
 from tallybook.llm.licences import licence_notices
 from tallybook.llm.packing import pack_pieces, token_pieces
 from tallybook.llm.passages import remove_repeated_windows
 from tallybook.llm.personal import BASE_KINDS, personal_spans
 from tallybook.llm.quality import classify_quality
+from tallybook.llm.ranked import ranked_search
 from tallybook.llm.setjoin import similar_documents
 from tallybook.llm.sharding import extendible_shards
 from tallybook.llm.suffixes import repeated_passages
@@ -156,6 +159,99 @@ def op10_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licence_notices(read_table(spark, sf_dir, "documents"))
 
 
+def op11_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = edited_sketches(read_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        sketch_text(F.col("sketch")).alias("fingerprint"),
+        sketch_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"),
+        resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, benchmark = (read_table(spark, sf_dir, t) for t in ("documents", "benchmark"))
+    return ranked_search(documents, benchmark)
+
+
+_TERMS = (
+    r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),"
+    r" '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+)
+
+OP12_SQL = f"""
+WITH d AS (
+    SELECT doc_id, {_TERMS} AS ts FROM documents
+), s AS (
+    SELECT count(*) AS nn, sum(len(ts))::BIGINT AS ll FROM d WHERE len(ts) > 0
+), p AS (
+    SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(ts) AS term FROM d) GROUP BY doc_id, term
+), w AS (
+    SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w
+    FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+), m AS (
+    SELECT doc_id, 10 + (90 * len(ts)::HUGEINT * nn) // ll AS m FROM d, s WHERE len(ts) > 0
+), q AS (
+    SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark
+), scored AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+    FROM q JOIN w USING (term) JOIN p USING (term) JOIN m USING (doc_id) GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations(read_table(spark, sf_dir, "documents"))
+    return found.withColumn("rank", F.col("rank").cast("bigint"))
+
+
+OP13_SQL = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents
+), w AS (
+    SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM pieces
+), occurrences AS (
+    SELECT lang, length, array_to_string(ws[i : i + length - 1], ' ') AS phrase
+    FROM (SELECT lang, ws, length, unnest(range(1, len(ws) - length + 2)) AS i
+          FROM w, (SELECT unnest([1, 2, 3]) AS length) WHERE len(ws) >= length)
+), f AS (
+    SELECT lang, length, phrase, count(*) AS total FROM occurrences GROUP BY lang, length, phrase
+), sizes AS (
+    SELECT lang, sum(total)::BIGINT AS n FROM f WHERE length = 1 GROUP BY lang
+), candidates AS (
+    SELECT lang, length, phrase, total AS a, string_split(phrase, ' ') AS ws FROM f WHERE length > 1 AND total >= 10
+), cuts AS (
+    SELECT lang, phrase, a, k, array_to_string(ws[1 : k], ' ') AS left_part, array_to_string(ws[k + 1 :], ' ') AS right_part
+    FROM (SELECT *, unnest(range(1, length)) AS k FROM candidates)
+), scores AS (
+    SELECT c.lang, c.phrase, a, k, x.total AS l, y.total AS r,
+           ((1000000::HUGEINT * a * a) // (x.total::HUGEINT * y.total))::BIGINT AS score
+    FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = left_part JOIN f y ON y.lang = c.lang AND y.phrase = right_part
+), lowest AS (
+    SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), absorbed AS (
+    SELECT DISTINCT s.lang, s.phrase FROM candidates s
+    JOIN (SELECT lang, a, array_to_string(ws[i : i + 1], ' ') AS phrase
+          FROM (SELECT *, unnest([1, 2]) AS i FROM candidates WHERE length = 3)) b
+      ON b.lang = s.lang AND b.phrase = s.phrase WHERE 100 * b.a >= 50 * s.a
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+    FROM lowest ANTI JOIN absorbed USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE rank <= 2000
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_quality_classifier": op2_quality_classifier,
@@ -167,6 +263,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_shingle_join": op8_shingle_join,
     "op9_decontamination": op9_decontamination,
     "op10_licence_scan": op10_licence_scan,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_collocations": op13_collocations,
 }
 
 #: SQL that must give the same rows; the rest is tested against brute force or on held-out rows.
@@ -174,4 +273,6 @@ ORACLE_SQL: dict[str, str] = {
     "op6_exact_dedup": OP6_SQL,
     "op7_substring_dedup": OP7_SQL,
     "op8_shingle_join": OP8_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_collocations": OP13_SQL,
 }
