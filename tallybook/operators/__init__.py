@@ -22,6 +22,8 @@ from tallybook.operators.spines import (
     day_positions,
     latest_two_dates,
     processing_dates,
+    settled_spine,
+    spine_of_days,
 )
 from tallybook.operators.upserts import upsert
 
@@ -42,6 +44,8 @@ __all__ = [
     "range_join_trailing",
     "recode_values",
     "rows_per_snapshot",
+    "settled_spine",
+    "spine_of_days",
     "sanitize_columns",
     "split_by_membership",
     "sum_numeric",

@@ -9,9 +9,11 @@ window without partition keys in this module.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
@@ -45,6 +47,29 @@ def processing_dates(
     )
 
 
+def spine_of_days(spark: SparkSession, days: Iterable[date]) -> DataFrame:
+    """The spine of known days, as a local relation: no scan and no window, however often it is read."""
+    known = sorted({d for d in days if d is not None})
+    days = pa.array(known, pa.date32())
+    none = pa.nulls(min(1, len(known)), pa.date32())
+    table = {
+        "snapshot_date": days,
+        "seq": pa.array(range(1, len(known) + 1), pa.int32()),
+        "prior_date": pa.concat_arrays([none, days[:-1]]),
+        "next_date": pa.concat_arrays([days[1:], none]),
+    }
+    return spark.createDataFrame(pa.table(table))
+
+
+def settled_spine(spine: DataFrame) -> DataFrame:
+    """A spine computed once and kept as a local relation.
+
+    For plans that read a spine several times. Its rows pass through the driver: one per
+    calendar day at most.
+    """
+    return spine_of_days(spine.sparkSession, [r[0] for r in spine.select("snapshot_date").collect()])
+
+
 def latest_two_dates(spine: DataFrame, as_of: date | str) -> DataFrame:
     """Newest and previous day; no row when the newest day is not ``as_of``."""
     newest = spine.where(F.col("next_date").isNull() & (F.col("snapshot_date") == as_date(as_of)))

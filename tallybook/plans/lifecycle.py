@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.dates import as_date
@@ -20,6 +20,7 @@ from tallybook.operators.picks import latest_per_key
 from tallybook.operators.spines import last_position
 from tallybook.operators.upserts import upsert
 from tallybook.plans.conform import LIVE_STATUSES
+from tallybook.sources.keyed import read_keyed
 
 LEDGER_COLUMNS = [
     "customer_key",
@@ -183,15 +184,10 @@ def ledger_history(seed: DataFrame, events: DataFrame, spine: DataFrame) -> Data
     return spread.join(days, "seq").select(*LEDGER_COLUMNS, "snapshot_date")
 
 
-def ledger_incremental(
-    ledger: DataFrame, presence: DataFrame, spine: DataFrame, since: date | str
+def _events_since(
+    presence: DataFrame, spine: DataFrame, since: date | str
 ) -> DataFrame:
-    """Ledger brought up to date with the processing days after ``since``.
-
-    Only those days and the one before them are compared, and of a tree that is partitioned
-    by day only those are read. The result is a new version
-    for :func:`~tallybook.sources.writers.replace_table`; doing it again changes nothing.
-    """
+    """Gains and losses of the processing days after ``since``; earlier days are not read."""
     needed = spine.where((F.col("next_date") > as_date(since)) | F.col("next_date").isNull())
     # a scalar subquery prunes partitions when the plan runs, which a semi join would not
     done = spine.where(F.col("snapshot_date") <= as_date(since)).agg(F.max("snapshot_date"))
@@ -199,15 +195,42 @@ def ledger_incremental(
     recent = presence.where(F.col("snapshot_date") >= start)
     fresh = F.col("prior_date") >= F.lit(since).cast("date")
     short = needed.withColumn("prior_date", F.when(fresh, F.col("prior_date")))
-    events = snapshot_diff(recent, short)
-    # customers that entered on the days being done again enter anew
+    return snapshot_diff(recent, short)
+
+
+def _entered_by(ledger: DataFrame, since: date | str) -> DataFrame:
+    """Customers that entered on the days being done again enter anew."""
     entered = F.col("original_acquisition_date")
-    known = ledger.where(entered.isNull() | (entered <= as_date(since)))
-    changed = acquisition_ledger(
-        known.join(events.select("customer_key").distinct(), "customer_key", "left_semi"),
-        events,
-    )
-    return upsert(ledger, changed, ["customer_key"])
+    return ledger.where(entered.isNull() | (entered <= as_date(since)))
+
+
+def ledger_incremental(
+    ledger: DataFrame, presence: DataFrame, spine: DataFrame, since: date | str
+) -> DataFrame:
+    """Ledger brought up to date with the processing days after ``since``.
+
+    Only those days and the one before them are compared, and of a tree that is partitioned
+    by day only those are read. The result is a new version
+    for :func:`~tallybook.sources.writers.replace_table`; doing it again changes nothing.
+    """
+    events = _events_since(presence, spine, since)
+    touched = events.select("customer_key").distinct()
+    known = _entered_by(ledger, since).join(touched, "customer_key", "left_semi")
+    return upsert(ledger, acquisition_ledger(known, events), ["customer_key"])
+
+
+def ledger_changes(
+    spark: SparkSession, table: str, presence: DataFrame, spine: DataFrame, since: date | str
+) -> DataFrame:
+    """Ledger rows of the customers that came or left after ``since``, as they should be.
+
+    ``table`` is a ledger written by :func:`~tallybook.sources.keyed.write_keyed_table`, of which only
+    the groups of these customers are read. The result is the change set for
+    :func:`~tallybook.sources.keyed.merge_keyed`.
+    """
+    events = _events_since(presence, spine, since)
+    known = _entered_by(read_keyed(spark, table, events), since)
+    return acquisition_ledger(known, events)
 
 
 def customer_status_flags(

@@ -16,6 +16,7 @@ from tallybook.sources import (
     read_csv,
     read_snapshots,
     replace_table,
+    snapshot_spine,
     write_snapshot,
     write_table,
 )
@@ -166,6 +167,30 @@ def round_trip(t: Tables):
     )
 
 
+def day_folders(t: Tables):
+    """Events in a year/month/day tree, one day written again, and a range of it read back.
+
+    Days, their positions and the folders to read come from folder names.
+    """
+    base = f"{shared_dir(t.spark)}/day_folders_{uuid.uuid4().hex}"
+    events = t.raw("events").select(
+        "event_id", "event_type", "value", F.to_date("ts").alias("snapshot_date")
+    )
+    write_snapshot(events, base, layout="folders")
+    again = events.where(F.col("snapshot_date") == F.lit("2024-01-10").cast("date"))
+    write_snapshot(again, base, layout="folders")
+    span = {"start": "2024-01-08", "end": "2024-01-26", "years": [2023, 2024]}
+    spine = snapshot_spine(t.spark, base, **span)
+    back = read_snapshots(t.spark, base, **span)
+    counts = back.groupBy("snapshot_date").agg(
+        F.count(F.lit(1)).alias("event_count"),
+        F.sum(F.col("value").cast("decimal(18,2)")).alias("amount"),
+    )
+    return spine.join(counts, "snapshot_date", "left").select(
+        "snapshot_date", "seq", "prior_date", "event_count", "amount"
+    )
+
+
 def _daily_events(t: Tables):
     return t.raw("events").select(
         "event_id", "event_type", F.to_date("ts").alias("snapshot_date")
@@ -273,6 +298,15 @@ SELECT CAST(ts AS DATE) AS snapshot_date, event_type,
        sum(CAST(value AS DECIMAL(18,2))) AS amount
 FROM events GROUP BY ALL""",
            dates=("snapshot_date",), money=("amount",)),
+    Report("day_folders", day_folders, """
+SELECT snapshot_date, CAST(row_number() OVER o AS INTEGER) AS seq,
+       lag(snapshot_date) OVER o AS prior_date, event_count, amount
+FROM (SELECT CAST(ts AS DATE) AS snapshot_date, count(*) AS event_count,
+             sum(CAST(value AS DECIMAL(18,2))) AS amount
+      FROM events WHERE CAST(ts AS DATE) BETWEEN DATE '2024-01-08' AND DATE '2024-01-26'
+      GROUP BY 1)
+WINDOW o AS (ORDER BY snapshot_date)""",
+           dates=("snapshot_date", "prior_date"), money=("amount",)),
     Report("table_roundtrip", tables, """
 SELECT event_id, event_type, CAST(ts AS DATE) AS snapshot_date, 2 AS version FROM events""",
            dates=("snapshot_date",)),

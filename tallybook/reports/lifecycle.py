@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from tallybook.plans import lifecycle
 from tallybook.reports.accounts import conformed
 from tallybook.reports.report import Report
 from tallybook.reports.shapes import Tables
+from tallybook.sources.keyed import GROUP, merge_keyed, write_keyed_table
 
 MIN_RETURN_DAYS, FRAUD_DAYS = 2, 1
 
@@ -62,7 +64,20 @@ def incremental(t: Tables):
     return lifecycle.ledger_incremental(first, t.presence, spine, "2024-01-20")
 
 
-def merged(t: Tables):
+def incremental_keyed(t: Tables):
+    """Ledger at 20 January in a keyed table, into which the changes of the days after are merged."""
+    early = t.presence.where(F.col("snapshot_date") <= F.lit("2024-01-20").cast("date"))
+    first = lifecycle.acquisition_ledger(
+        _seed(t), lifecycle.snapshot_diff(early, processing_dates(early))
+    )
+    name = f"ledger_{uuid.uuid4().hex}"
+    write_keyed_table(first, name, ["customer_key"], groups=16, buckets=4)
+    changes = lifecycle.ledger_changes(t.spark, name, t.presence, _spine(t), "2024-01-20")
+    merge_keyed(t.spark, name, changes)
+    return t.spark.read.table(name).drop(GROUP)
+
+
+def merged(t: Tables, merge=upsert):
     """Totals of every year merged with those of the next on the customer, in all four shapes."""
     totals = t.raw("orders").groupBy(
         F.col("o_custkey").alias("customer_key"), F.year("o_orderdate").alias("year")
@@ -79,12 +94,20 @@ def merged(t: Tables):
         "update, insert": {},
     }
     parts = [
-        upsert(totals, following, keys, **kind).withColumn("shape", F.lit(name))
+        merge(totals, following, keys, **kind).withColumn("shape", F.lit(name))
         for name, kind in shapes.items()
     ]
     return functools.reduce(DataFrame.unionByName, parts)
 
 
+def _keyed_merge(target: DataFrame, source: DataFrame, keys, **kind) -> DataFrame:
+    """The same merge, done to a keyed table of the target."""
+    spark, name = target.sparkSession, f"totals_{uuid.uuid4().hex}"
+    write_keyed_table(target, name, keys, groups=8, buckets=2)
+    merge_keyed(spark, name, source, **kind)
+    return spark.read.table(name).drop(GROUP)
+
+
 def flags(t: Tables):
     spine = _spine(t)
     runs = lifecycle.ledger_runs(_seed(t), _events(t), spine)
@@ -147,6 +170,23 @@ SELECT snapshot_date, customer_key, NULL, NULL,
        CASE WHEN recent <> original_acquisition_date THEN 1 END, recent
 FROM k WHERE most_recent_lost_date = prior_date"""
 
+_UPSERT_SQL = """
+WITH t AS (SELECT o_custkey AS customer_key, CAST(year(o_orderdate) AS INTEGER) AS year,
+                  count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1, 2),
+s AS (SELECT customer_key, CAST(year - 1 AS INTEGER) AS year, n, d FROM t)
+SELECT customer_key, year, coalesce(t.n, s.n) AS account_count, coalesce(s.d, t.d) AS last_opened,
+       'update some, insert' AS shape
+FROM t FULL JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update only'
+FROM t LEFT JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(t.n, s.n), coalesce(t.d, s.d), 'insert only'
+FROM t FULL JOIN s USING (customer_key, year)
+UNION ALL
+SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update, insert'
+FROM t FULL JOIN s USING (customer_key, year)"""
+
 REPORTS = [
     Report("eligible_customers", eligible, """
 SELECT DISTINCT b.customer_key, x.snapshot_date
@@ -162,22 +202,9 @@ SELECT *, CAST(NULL AS DATE) AS most_recent_acquisition_date,
     Report("ledger_history", history, "SELECT * FROM d_ledger_history",
            dates=(*_LEDGER_DATES, "snapshot_date")),
     Report("ledger_incremental", incremental, _FINAL, dates=_LEDGER_DATES),
-    Report("upsert", merged, """
-WITH t AS (SELECT o_custkey AS customer_key, CAST(year(o_orderdate) AS INTEGER) AS year,
-                  count(*) AS n, CAST(max(o_orderdate) AS DATE) AS d FROM orders GROUP BY 1, 2),
-s AS (SELECT customer_key, CAST(year - 1 AS INTEGER) AS year, n, d FROM t)
-SELECT customer_key, year, coalesce(t.n, s.n) AS account_count, coalesce(s.d, t.d) AS last_opened,
-       'update some, insert' AS shape
-FROM t FULL JOIN s USING (customer_key, year)
-UNION ALL
-SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update only'
-FROM t LEFT JOIN s USING (customer_key, year)
-UNION ALL
-SELECT customer_key, year, coalesce(t.n, s.n), coalesce(t.d, s.d), 'insert only'
-FROM t FULL JOIN s USING (customer_key, year)
-UNION ALL
-SELECT customer_key, year, coalesce(s.n, t.n), coalesce(s.d, t.d), 'update, insert'
-FROM t FULL JOIN s USING (customer_key, year)""", dates=("last_opened",)),
+    Report("ledger_keyed", incremental_keyed, _FINAL, dates=_LEDGER_DATES),
+    Report("upsert", merged, _UPSERT_SQL, dates=("last_opened",)),
+    Report("upsert_keyed", lambda t: merged(t, _keyed_merge), _UPSERT_SQL, dates=("last_opened",)),
     Report("status_flags", flags, _FLAGS_SQL,
            dates=("snapshot_date", "most_recent_acquisition_date")),
     Report("status_flags_branch", flags_with_branch, f"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tallybook.functions.dates import as_date
+from tallybook.sources.days import list_days
 
 
 def read_snapshots(
@@ -23,29 +24,30 @@ def read_snapshots(
 ) -> DataFrame:
     """Parquet snapshots of some or all processing days, with ``snapshot_date``.
 
-    ``layout="folders"`` reads a ``yyyy/MM/dd`` tree and takes the day from the file
-    path; ``years`` narrows the listing itself. ``layout="partitioned"`` reads a tree
-    written by :func:`write_snapshot`, where a day range prunes partitions.
+    ``layout="folders"`` reads a ``yyyy/MM/dd`` tree and takes the day from the file path.
+    Range and years become the paths of the days that exist, so other folders are neither
+    listed nor opened. ``layout="partitioned"`` reads a tree written by
+    :func:`write_snapshot`, where a day range prunes partitions. No day in range gives no rows if a
+    ``schema`` is declared, else it is an error.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     if layout == "partitioned":
         df = reader.parquet(base)
         if years is not None:
             df = df.where(F.year("snapshot_date").isin(list(years)))
-    else:
-        year = "*" if years is None else "{" + ",".join(f"{y:04d}" for y in years) + "}"
-        same_day = start is not None and start == end
-        day = str(start).replace("-", "/") if same_day else f"{year}/*/*"
-        path = F.col("_metadata.file_path")
-        stamp = F.regexp_extract(path, r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
-        df = reader.parquet(f"{base}/{day}").withColumn(
-            "snapshot_date", F.try_to_date(stamp, "yyyy/MM/dd")
-        )
-    if start is not None:
-        df = df.where(F.col("snapshot_date") >= as_date(start))
-    if end is not None:
-        df = df.where(F.col("snapshot_date") <= as_date(end))
-    return df
+        if start is not None:
+            df = df.where(F.col("snapshot_date") >= as_date(start))
+        if end is not None:
+            df = df.where(F.col("snapshot_date") <= as_date(end))
+        return df
+    paths = list(list_days(spark, base, start, end, years).values())
+    if not paths:
+        if schema is None:
+            raise ValueError(f"no processing day of {base} is in range, and no schema is declared")
+        empty = spark.createDataFrame([], schema)
+        return empty.withColumn("snapshot_date", F.lit(None).cast("date"))
+    stamp = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
+    return reader.parquet(*paths).withColumn("snapshot_date", F.to_date(stamp, "yyyy/MM/dd"))
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -54,14 +56,25 @@ def replace_table(df: DataFrame, name: str) -> None:
 
 
 def write_snapshot(
-    df: DataFrame, base: str, day: str | None = None, date_col: str = "snapshot_date"
+    df: DataFrame,
+    base: str,
+    day: str | None = None,
+    date_col: str = "snapshot_date",
+    layout: str = "partitioned",
 ) -> None:
     """Write rows under one folder per day, replacing only the days written.
 
     All days of a many-day result go out in one job. Rows are laid out by day first, so the
     number of files follows the data; a large day still splits. Running a day again replaces it.
+    ``layout="folders"`` gives a ``yyyy/MM/dd`` tree; days are written aside and then take their
+    places by renaming. Rows without a day are left out of such a tree.
     """
     out = df.withColumn(date_col, as_date(day)) if day is not None else df
+    if layout == "folders":
+        aside = f"{base.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+        write_snapshot(out.where(F.col(date_col).isNotNull()), aside, date_col=date_col)
+        _take_places(df.sparkSession, aside, base.rstrip("/"), date_col)
+        return
     (
         out.hint("rebalance", date_col)
         .write.mode("overwrite")
@@ -71,6 +84,21 @@ def write_snapshot(
     )
 
 
+def _take_places(spark: SparkSession, aside: str, base: str, date_col: str) -> None:
+    """Rename day folders into a ``yyyy/MM/dd`` tree; one step per calendar day written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(aside).getFileSystem(spark._jsc.hadoopConfiguration())
+    for status in files.listStatus(path(aside)):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(f"{date_col}="):
+            target = path(f"{base}/{name.split('=')[1].replace('-', '/')}")
+            files.mkdirs(target.getParent())
+            files.delete(target, True)
+            if not files.rename(status.getPath(), target):
+                raise OSError(f"could not move {status.getPath()} to {target}")
+    files.delete(path(aside), True)
+
+
 def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     """CSV with a header. ``single_file`` is for hand-over extracts of known small size."""
     out = df.coalesce(1) if single_file else df
