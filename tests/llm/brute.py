@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -169,3 +170,71 @@ def dice_matches(rows, templates, least: float):
                 score, _, name = max(scored)
                 out.add((doc_id, line, name, round(score, 9)))
     return out
+
+
+def edits(rows):
+    """(doc_id, text, edited text, next text) in descending order of ids, null last."""
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    out = []
+    for k, (doc_id, text) in enumerate(ordered):
+        text, after = text or "", ordered[(k + 1) % len(ordered)][1] or ""
+        half = len(text) // 2
+        out.append((doc_id, text, text[: len(text) - half] + after[:half], after))
+    return out
+
+
+def terms(text: str | None) -> list[str]:
+    return re.findall(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", (text or "").translate(UPPER))
+
+
+def ranked(documents, items, k: int = 10):
+    counted = [(d, Counter(terms(t))) for d, t in documents]
+    counted = [(d, c) for d, c in counted if c]
+    n, length = len(counted), sum(sum(c.values()) for _, c in counted)
+    df = Counter(t for _, c in counted for t in c)
+    asked = defaultdict(set)
+    for item_id, text in items:
+        asked[item_id].update(terms(text))
+    out = []
+    for item_id, wanted in asked.items():
+        found = []
+        for d, c in counted:
+            m = 10 + (90 * sum(c.values()) * n) // length
+            score = sum(
+                math.floor(1000 * math.log((2 * n + 2) / (2 * df[t] + 1))) * (1_000_000_000 * c[t] // (1000 * c[t] + 8 * m))
+                for t in wanted & set(c)
+            )
+            if score > 0:
+                found.append((-score, d is None, d or 0, d))
+        out += [(item_id, r, x[3], -x[0]) for r, x in enumerate(sorted(found)[:k], 1)]
+    return out
+
+
+def collocations(rows, max_words: int = 3, least: int = 10, share: int = 50, best: int = 2000):
+    counts, sizes = Counter(), Counter()
+    for lang, text in rows:
+        lang = lang or "und"
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(UPPER)):
+            w = tuple(re.findall(r"[^\x20\x09]+", piece))
+            sizes[lang] += len(w)
+            for n in range(1, max_words + 1):
+                counts.update((lang, w[i : i + n]) for i in range(len(w) - n + 1))
+    candidates = {p: a for p, a in counts.items() if len(p[1]) > 1 and a >= least}
+    absorbed = {
+        (lang, w[i : i + n])
+        for (lang, w), a in candidates.items()
+        for n in range(2, len(w))
+        for i in range(len(w) - n + 1)
+        if 100 * a >= share * counts[lang, w[i : i + n]]
+    }
+    out = []
+    for lang in sizes:
+        scored = []
+        for (at, w), a in candidates.items():
+            if at == lang and (at, w) not in absorbed:
+                cuts = [(counts[at, w[:k]], counts[at, w[k:]]) for k in range(1, len(w))]
+                score, _, l, r = min((1_000_000 * a * a // (l * r), k, l, r) for k, (l, r) in enumerate(cuts))
+                scored.append((-score, -a, " ".join(w).encode(), l, r))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(scored)[:best], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, sizes[lang], -score))
+    return out

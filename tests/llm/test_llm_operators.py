@@ -13,8 +13,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute
 
 import corpus_pipeline
-from tallybook.llm import contamination, exact, licences, packing, passages, personal, postings
-from tallybook.llm import quality, setjoin, sharding, suffixes
+from tallybook.llm import collocations, contamination, exact, fingerprints, licences, packing, passages
+from tallybook.llm import personal, postings, quality, ranked, setjoin, sharding, suffixes
 from tallybook.llm.links import components
 from tallybook.llm.queries import tokenizer_path
 from tallybook.llm.words import mixed
@@ -22,7 +22,9 @@ from tallybook.llm.words import mixed
 CLASHING = (
     "doc_id bigint, text string, lang string, source string, n_chars bigint, uid string, keep_id int, "
     "kept string, rid string, n string, name string, hub int, score string, measures string, "
-    "bucket string, component_id int, ids string, hash string, __kept_id string, row string, line string"
+    "bucket string, component_id int, ids string, hash string, __kept_id string, row string, line string, "
+    "block string, lot string, terms string, m string, place string, after string, sketch string, phrase string, "
+    "item string, item_id string, top string, rank string, total string, deal string"
 )
 
 
@@ -66,6 +68,10 @@ OPERATORS = {
     "pieces": lambda d: packing.pack_pieces(packing.token_pieces(d, tokenizer_path())),
     "quality": lambda d: quality.classify_quality(d, labels_of(d)),
     "leaks": lambda d: contamination.benchmark_leaks(d, items_of(d)),
+    "sketches": lambda d: fingerprints.document_sketches(d),
+    "edits": lambda d: fingerprints.edited_sketches(d),
+    "ranked": lambda d: ranked.ranked_search(d, items_of(d)),
+    "collocations": lambda d: collocations.collocations(d.withColumn("lang", F.lit("en")), least=2),
 }
 
 
