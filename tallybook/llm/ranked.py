@@ -34,12 +34,15 @@ _TERMS = bytes(
 )
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, n, terms, counts and block of each row; counts of all rows with at least one term."""
-    context, lot = TaskContext.get(), 0
-    for part, texts in parts(batches, BLOCK_BYTES):
-        block = (context.partitionId() << 33) | lot
-        lot += 1
+def _count_terms(block_bytes: int):
+    """doc_id, n, terms, counts and block of each row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        for block, (part, texts) in enumerate(parts(batches, block_bytes), first):
+            yield counted(part, texts, block)
+
+    def counted(part: pa.RecordBatch, texts: list[bytes], block: int) -> pa.RecordBatch:
         numbers: dict[bytes, int] = {}
         lengths, sizes, terms, counts = [], [], [], []
         for text in texts:
@@ -61,15 +64,17 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.ListArray.from_arrays(ends, pa.array(np.concatenate(counts), pa.int64())),
             pa.array([block] * len(texts), pa.int64()),
         ]
-        yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "terms", "counts", "block"])
+        return pa.RecordBatch.from_arrays(arrays, ["doc_id", "n", "terms", "counts", "block"])
+
+    return run
 
 
 _COUNTED = "doc_id bigint, n bigint, terms array<string>, counts array<bigint>, block bigint"
 
 
-def _terms_of(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def _terms_of(rows: DataFrame, id_col: str, text_col: str, block_bytes: int) -> DataFrame:
     slim = rows.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    return slim.mapInArrow(_count_terms, _COUNTED)
+    return slim.mapInArrow(_count_terms(block_bytes), _COUNTED)
 
 
 def best_of_block(
@@ -147,8 +152,8 @@ def _answer(k: int):
     return run
 
 
-def _lots(items: DataFrame, frequencies: DataFrame, n: int) -> tuple[DataFrame, int]:
-    """Queries in lots of about ``LOT_BYTES``, each with its terms and weights, rarest first."""
+def _lots(items: DataFrame, frequencies: DataFrame, n: int, lot_bytes: int) -> tuple[DataFrame, int]:
+    """Queries in lots of about ``lot_bytes``, each with its terms and weights, rarest first."""
     weight = F.floor(1000 * F.log((2.0 * n + 2.0) / (2.0 * F.col("df") + 1.0)))
     asked = items.select(F.col("doc_id").alias("item_id"), F.explode("terms").alias("term")).distinct()
     known = asked.join(frequencies, "term").withColumn("weight", weight)
@@ -158,7 +163,7 @@ def _lots(items: DataFrame, frequencies: DataFrame, n: int) -> tuple[DataFrame,
     )
     by_item = stored(by_item, "asked")
     total = by_item.agg(F.sum("bytes")).first()[0] or 0
-    lots = total // LOT_BYTES + 1
+    lots = total // lot_bytes + 1
     lot = F.pmod(F.xxhash64("item_id"), F.lit(lots)).alias("lot")
     return by_item.select(lot, F.struct("item_id", "terms").alias("query")), lots
 
@@ -175,6 +180,8 @@ def ranked_search(
     id_col: str = "doc_id",
     item_col: str = "item_id",
     text_col: str = "text",
+    block_bytes: int = BLOCK_BYTES,
+    lot_bytes: int = LOT_BYTES,
 ) -> DataFrame:
     """The ``k`` best documents of each query: item_id, rank, doc_id, score.
 
@@ -184,12 +191,12 @@ def ranked_search(
     are one query with the terms of all; null is an id of its own. A query without known terms, or an
     empty table on either side, gives no rows. Other columns are not read.
     """
-    counted = stored(_terms_of(docs, id_col, text_col).where("n > 0"), "terms")
+    counted = stored(_terms_of(docs, id_col, text_col, block_bytes).where("n > 0"), "terms")
     n, length = counted.agg(F.count("*"), F.sum("n")).first()
     frequencies = counted.select(F.explode("terms").alias("term")).groupBy("term").agg(
         F.count("*").alias("df")
     )
-    queries, lots = _lots(_terms_of(items, item_col, text_col), frequencies, n)
+    queries, lots = _lots(_terms_of(items, item_col, text_col, block_bytes), frequencies, n, lot_bytes)
     # decimals hold 90 * n * N, which may pass 64 bits
     share = F.expr(f"(CAST(90 AS DECIMAL(2,0)) * CAST(n AS DECIMAL(18,0)) * {n}BD) div {length or 1}BD")
     blocks = counted.select(

@@ -4,9 +4,11 @@ import hashlib
 import math
 import random
 import sys
+from collections import Counter
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -104,17 +106,16 @@ def test_ranked_equals_brute_force_on_odd_rows(spark, odd_rows):  # noqa: F811
 
 
 @pytest.mark.parametrize("sizes", [(400, 200), (3000, 10**6)])
-def test_ranked_over_many_blocks_and_lots(spark, monkeypatch, sizes):
+def test_ranked_over_many_blocks_and_lots(spark, sizes):
     """Ties, skewed terms and very different lengths; blocks and lots of a few rows each."""
-    monkeypatch.setattr(ranked, "BLOCK_BYTES", sizes[0])
-    monkeypatch.setattr(ranked, "LOT_BYTES", sizes[1])
     rnd = random.Random(sizes[0])
     vocabulary = [f"t{int(rnd.paretovariate(0.7))}" for _ in range(3000)]
     rows = [(d, " ".join(rnd.choices(vocabulary, k=rnd.choice([1, 2, 5, 30, 200])))) for d in range(400)]
     rows += [(1000 + d, rows[d][1]) for d in range(0, 400, 3)]
     items = [(i, " ".join(rnd.choices(vocabulary, k=rnd.choice([1, 3, 12])))) for i in range(25)]
     asked = spark.createDataFrame(items, "item_id bigint, text string")
-    found = [tuple(r) for r in ranked.ranked_search(frame(spark, rows).repartition(4), asked).collect()]
+    sized = {"block_bytes": sizes[0], "lot_bytes": sizes[1]}
+    found = [tuple(r) for r in ranked.ranked_search(frame(spark, rows).repartition(4), asked, **sized).collect()]
     assert sorted(found) == sorted(brute.ranked(rows, items))
 
 
@@ -148,15 +149,56 @@ def corpus(rnd, n):
 
 
 @pytest.mark.parametrize("options", [{}, {"least": 2, "share": 90}, {"max_words": 4, "least": 3}, {"best": 7}, {"max_words": 2}])
-def test_collocations_equal_brute_force(spark, monkeypatch, options):
-    monkeypatch.setattr(collocations, "BLOCK_BYTES", 3000)
-    monkeypatch.setattr(collocations, "_PART", 50)
+def test_collocations_equal_brute_force(spark, options):
     rows = corpus(random.Random(8), 150)
     docs = spark.createDataFrame(rows, "lang string, text string").repartition(5)
-    found = [tuple(r) for r in collocations.collocations(docs, **options).collect()]
+    found = [tuple(r) for r in collocations.collocations(docs, block_bytes=3000, **options).collect()]
     assert sorted(found) == sorted(brute.collocations(rows, **options))
 
 
+def _level(rows):
+    """Phrase lists of blocks as Arrow rows: (block, head, shard, tails with counts)."""
+    out = []
+    for block, head, shard, phrases in rows:
+        columns = {"block": [block], "lang": ["en"], "head": [head], "shard": [shard], "start": [0]}
+        columns |= {"tails": [[t for t, _ in phrases]], "counts": [[n for _, n in phrases]]}
+        out.append(collocations._batch(1, **columns))
+    return out
+
+
+def test_groups_across_batches_are_counted_once():
+    rows = [(b, h, s, [(f"t{(b + k) % 5}", 2) for k in range(3)]) for h in "abc" for s in (0, 1) for b in range(7)]
+    whole = pa.Table.from_batches(_level(rows)).combine_chunks().to_batches()
+    results = []
+    for batches in (whole, _level(rows)):
+        got = pa.Table.from_batches(list(collocations._counted(9)(iter(batches)))).to_pylist()
+        results.append(sorted(map(str, got)))
+    assert results[0] == results[1]
+    totals = [r for r in got if r["block"] is None]
+    expected = Counter()
+    for _, h, s, phrases in rows:
+        for t, n in phrases:
+            expected[h, s, t] += n
+    assert {(r["head"], r["shard"], t): n for r in totals for t, n in zip(r["tails"], r["counts"], strict=True)} == {
+        k: n for k, n in expected.items() if n >= 9
+    }
+
+
+def test_long_relations_are_cut_and_join_again(monkeypatch):
+    monkeypatch.setattr(collocations, "_PART", 7)
+    at = np.cumsum(np.random.default_rng(2).integers(1, 3, 40))
+    items = np.arange(40) % 3
+    runs = list(collocations._relation(5, "en", at, items))
+    assert len(runs) == 6
+    listed = collocations._batch(
+        1, block=[5], lang=["en"], head=[""], shard=[0], tails=[["x", "y", "z"]], items=[[0, 1, 2]], counts=[[50, 60, 70]]
+    )
+    longer = collocations._extended(True)(pa.Table.from_batches([*runs, listed])).to_pylist()
+    got = {(r["head"], t): n for r in longer for t, n in zip(r["tails"], r["counts"], strict=True)}
+    names = "xyz"
+    assert got == Counter((names[i % 3], names[(i + 1) % 3]) for i in range(39) if at[i + 1] == at[i] + 1)
+
+
 def test_scores_stay_exact_beyond_64_bits(spark):
     a, l, r = 3_000_000_000_007, 3_000_000_000_011, 4_999_999_999_999
     phrases = [("en", "x y", 2, a)]
