@@ -19,7 +19,7 @@ from tallybook.functions.keys import ACCOUNT_TYPE_CODES
 from tallybook.operators.frames import recode_values
 from tallybook.operators.joins import range_join_trailing
 from tallybook.operators.picks import latest_per_key, mode_per_key, most_used
-from tallybook.operators.spines import day_positions, last_position
+from tallybook.operators.spines import day_positions, last_position, settled_spine
 from tallybook.plans.conform import activity_flags
 
 BRANCH_COLUMNS = ["primary_branch", "direct_branch", "acct_branch", "rm_branch", "dynamic_branch"]
@@ -205,10 +205,10 @@ def ownership_runs(direct: DataFrame, spine: DataFrame) -> DataFrame:
     )
 
 
-def used_branch_history(
+def _usage_runs(
     trans: DataFrame, runs: DataFrame, spine: DataFrame, days: int = 365
 ) -> DataFrame:
-    """Primary and direct branch per customer and processing day (``seq``).
+    """Runs of processing days on which a customer's counts at a branch stay the same.
 
     Each transaction adds to a branch's count on the first day whose window holds it
     and takes it off again on the first day after. Those two changes, summed per
@@ -250,29 +250,23 @@ def used_branch_history(
         F.sum("c.d").alias("_d"), F.sum("c.p").alias("_p")
     )
     # at most two changes per processing day and branch reach this window; laid out by
-    # customer, so that neither the days spread below nor their pick moves again
-    changes = changes.repartition("customer_key")
+    # customer, where all that follows stays
+    changes = changes.where("_d != 0 OR _p != 0").repartition("customer_key")
     order = Window.partitionBy("customer_key", "branch_number").orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     running = changes.select(
         "customer_key",
+        F.col("seq").alias("_from"),
+        F.lead("seq").over(order).alias("_until"),
         "branch_number",
-        "seq",
-        F.lead("seq").over(order).alias("_next"),
         F.sum("_d").over(upto).alias("direct_uses"),
         F.sum("_p").over(upto).alias("primary_uses"),
     )
-    daily = running.where(F.col("direct_uses") > 0).withColumn(
-        "seq", F.explode(F.sequence(F.col("seq"), F.col("_next") - 1))
-    )
-    return daily.groupBy("customer_key", "seq").agg(
-        most_used("branch_number", "primary_uses").alias("primary_branch_number"),
-        most_used("branch_number", "direct_uses").alias("direct_branch_number"),
-    )
+    return running.where(F.col("direct_uses") > 0)
 
 
-def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataFrame:
-    """Branch of the newest account owned directly, per customer and processing day."""
+def _account_spans(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataFrame:
+    """Spans of processing days on which a customer owns an opened account; the newest sorts first."""
     # an account opened before the spine is open on its first day
     positions = F.broadcast(day_positions(spine))  # bounded by the calendar
     first_day = spine.agg(F.min("snapshot_date")).scalar()
@@ -288,7 +282,6 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
         F.col("branch_id").alias("branch"),
     )
     owned = clamped.join(runs, "account_key").where(start < F.col("own_until"))
-    # one row per customer and span of days before the spans are spread over days
     spans = (
         owned.groupBy("customer_key", start.alias("_from"), "own_until")
         .agg(F.min(newest).alias("_best"))
@@ -300,19 +293,92 @@ def account_branch_history(accts: DataFrame, runs: DataFrame, spine: DataFrame)
         F.lead("own_until").over(order) >= F.col("own_until")
     )
     next_from = F.when(hidden, F.lead("_from").over(order))
-    until = F.least(next_from, F.col("own_until"))
-    daily = (
+    until = F.least(next_from, F.col("own_until")).cast("int")
+    return (
         spans.withColumn("_until", until)
         .where(F.col("_from") < F.col("_until"))
-        .select(
-            "customer_key",
-            "_best",
-            F.explode(F.sequence(F.col("_from"), F.col("_until") - 1)).alias("seq"),
-        )
+        .select("customer_key", "_from", "_until", "_best")
     )
-    return daily.groupBy("customer_key", "seq").agg(
-        F.min("_best")["branch"].alias("acct_branch_number")
+
+
+def branch_runs(
+    trans: DataFrame,
+    accts: DataFrame,
+    runs: DataFrame,
+    spine: DataFrame,
+    days: int = 365,
+) -> DataFrame:
+    """Primary, direct and newest-account branch per customer and run of processing days.
+
+    Positions ``seq_from`` up to, not including, ``seq_until`` (null: to the end). A sweep over the
+    customer's change points: what holds between two of them is decided once at the first.
+    """
+    used = _usage_runs(trans, runs, spine, days)
+    owned = _account_spans(accts, runs, spine)
+    both = used.unionByName(owned, allowMissingColumns=True)
+    customer = Window.partitionBy("customer_key")
+    # a customer's change points, at most one per processing day
+    points = F.array_union(
+        F.collect_set("_from").over(customer), F.collect_set("_until").over(customer)
+    )
+    holds = both.withColumn("_points", points).select(
+        "*",
+        F.explode(
+            F.filter("_points", lambda p: p.between(F.col("_from"), F.col("_until")))
+        ).alias("seq_from"),
+    )
+    # at its end a run has gone, but something else may begin or be left there
+    on = F.col("seq_from") < F.col("_until")
+    held = holds.select(
+        "customer_key",
+        "seq_from",
+        "branch_number",
+        *[F.when(on, F.col(c)).alias(c) for c in ("primary_uses", "direct_uses", "_best")],
+    )
+    picks = held.groupBy("customer_key", "seq_from").agg(
+        most_used("branch_number", "primary_uses").alias("primary_branch_number"),
+        most_used("branch_number", "direct_uses").alias("direct_branch_number"),
+        F.min("_best")["branch"].alias("acct_branch_number"),
+    )
+    after = F.lead("seq_from").over(customer.orderBy("seq_from"))
+    return picks.withColumn("seq_until", after)
+
+
+_PICKED = ["primary_branch_number", "direct_branch_number", "acct_branch_number"]
+
+
+def _spread(master: DataFrame, picks: DataFrame, spine: DataFrame) -> DataFrame:
+    """Rows that hold on every day, joined with their customer's runs and spread over the days once."""
+    last = last_position(spine)
+    own = F.struct(
+        F.coalesce("seq_from", F.lit(1)).alias("from_seq"),
+        F.coalesce(F.col("seq_until") - 1, last).alias("to_seq"),
+        *_PICKED,
+    )
+    # the days before a customer's first change point
+    nothing = [F.lit(None).cast(picks.schema[c].dataType).alias(c) for c in _PICKED]
+    before = F.struct(
+        F.lit(1).alias("from_seq"), (F.col("seq_from") - 1).alias("to_seq"), *nothing
+    )
+    first = F.row_number().over(Window.partitionBy("customer_key").orderBy("seq_from"))
+    opening = F.when((F.col("_nth") == 1) & (F.col("seq_from") > 1), before)
+    earliest = picks.withColumn("_nth", first)
+    joined = master.join(earliest, "customer_key", "left")
+    parts = joined.select(*master.columns, F.inline(F.array_compact(F.array(opening, own))))
+    days = F.explode(F.sequence("from_seq", "to_seq"))
+    return parts.where("from_seq <= to_seq").select(*master.columns, *_PICKED, days.alias("seq"))
+
+
+def _carried(master: DataFrame, picks: DataFrame) -> DataFrame:
+    """Daily rows, each with the picks of the last change point on or before its day."""
+    at = picks.select(
+        "customer_key", F.col("seq_from").alias("seq"), F.struct(*_PICKED).alias("_picks")
     )
+    both = at.unionByName(master.withColumn("_daily", F.lit(True)), allowMissingColumns=True)
+    order = Window.partitionBy("customer_key").orderBy("seq", F.asc_nulls_first("_daily"))
+    carried = F.last("_picks", ignorenulls=True).over(order)
+    daily = both.withColumn("_held", carried).where("_daily")
+    return daily.select(*master.columns, *[F.col("_held")[c].alias(c) for c in _PICKED])
 
 
 def dynamic_branch_history(
@@ -327,34 +393,27 @@ def dynamic_branch_history(
     """:func:`dynamic_branch` for every processing day of the spine in one plan.
 
     ``customers``, ``direct`` and ``flags`` are daily when they carry a
-    ``snapshot_date``; otherwise the same rows hold on every day.
+    ``snapshot_date``; otherwise the same rows hold on every day. The spine is computed once, when the
+    plan is made.
     """
-    runs = ownership_runs(direct, spine)
+    spine = settled_spine(spine)
     seqs = F.broadcast(spine.select("snapshot_date", "seq"))  # bounded by the calendar
-    daily_flags = "snapshot_date" in flags.columns
-    at = ["customer_key", "seq"]
-    if "snapshot_date" in customers.columns:
-        master = customers.select("customer_key", "opening_branch", "snapshot_date").distinct()
-        master = master.join(seqs, "snapshot_date")
-    else:
+    picks = branch_runs(trans, accts, ownership_runs(direct, spine), spine, days)
+    daily = [x for x in (customers, flags) if "snapshot_date" in x.columns]
+    if not daily:
         master = customers.select("customer_key", "opening_branch").distinct()
-    if not daily_flags:
-        master = master.join(flags, "customer_key", "left")
+        spread = _spread(master.join(flags, "customer_key", "left"), picks, spine)
+        return spread.join(seqs, "seq").select(*_assignment_columns(F.col("snapshot_date")))
+    at = ["customer_key", "snapshot_date"]
+    key = [c for c in at if c in customers.columns]
+    master = customers.select(*key, "opening_branch").distinct()
     if "snapshot_date" not in customers.columns:
         # one array with an entry per calendar day at most
-        all_days = spine.agg(F.collect_list(F.struct("seq", "snapshot_date"))).scalar()
-        master = master.select("*", F.inline(all_days))
-    if daily_flags:
-        master = master.join(flags.join(seqs, "snapshot_date").drop("snapshot_date"), at, "left")
-    # both sides are spread over days after the sizes the planner sees, so they are never
-    # offered for broadcast
-    used = used_branch_history(trans, runs, spine, days).hint("merge")
-    newest = account_branch_history(accts, runs, spine).hint("merge")
-    return (
-        master.join(used, at, "left")
-        .join(newest, at, "left")
-        .select(*_assignment_columns(F.col("snapshot_date")))
-    )
+        all_days = spine.agg(F.collect_list("snapshot_date")).scalar()
+        master = master.withColumn("snapshot_date", F.explode(all_days))
+    master = master.join(flags, [c for c in at if c in flags.columns], "left")
+    master = master.join(seqs, "snapshot_date")
+    return _carried(master, picks).select(*_assignment_columns(F.col("snapshot_date")))
 
 
 def assignment_with_names(assignments: DataFrame, branch_lookup: DataFrame) -> DataFrame:

@@ -179,3 +179,59 @@ def test_employee_branch_prefers_the_day(spark, rows):
     assert rows(br.user_branch(trans, logs), "user_id", "log_date", "user_branch_number") == [
         ("e", "2022-01-03", 1), ("e", "2022-01-09", 2), ("f", "2022-01-03", None),
     ]
+
+
+def _history_inputs(spark, hot=0):
+    trans = spark.sql(
+        "SELECT cast(id % 40 AS int) AS account_key, cast(id % 3 AS int) AS branch_number, "
+        "date_add(date'2022-01-03', cast(id * 37 % 900 AS int)) AS transaction_date FROM range(800)"
+    )
+    direct = spark.sql("SELECT cast(id AS int) AS account_key, cast(id % 9 AS int) AS customer_key, "
+                       "if(id % 2 = 0, 'Y', 'N') AS primary_customer_flag FROM range(40)")
+    accts = spark.sql("SELECT cast(id AS int) AS account_key, cast(id % 5 AS int) AS branch_id, "
+                      "date_add(date'2021-06-01', cast(id * 11 AS int)) AS date_opened FROM range(40)")
+    days = spark.sql("SELECT date_add(date'2022-01-03', cast(id * 7 AS int)) AS snapshot_date FROM range(120)")
+    return trans, direct, accts, processing_dates(days)
+
+
+def _exchanges(spark, build, settings):
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return build()._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("daily", [False, True])
+def test_history_needs_no_session_setting(spark, daily):
+    trans, direct, accts, spine = _history_inputs(spark)
+    customers = spark.sql("SELECT cast(id AS int) AS customer_key, 90 AS opening_branch FROM range(12)")
+    flags = spark.sql("SELECT cast(id AS int) AS customer_key, 'Y' AS is_active, 'N' AS is_direct FROM range(5)")
+    if daily:
+        customers = customers.crossJoin(spine.select("snapshot_date"))
+    never = {"spark.sql.autoBroadcastJoinThreshold": "-1"}
+
+    def build():
+        return br.dynamic_branch_history(customers, trans, direct, accts, flags, spine)
+
+    ours = _exchanges(spark, build, never | {"spark.sql.requireAllClusterKeysForCoPartition": "false"})
+    default = _exchanges(spark, build, never | {
+        "spark.sql.requireAllClusterKeysForCoPartition": "true",
+        "spark.sql.adaptive.forceOptimizeSkewedJoin": "false",
+    })
+    assert default <= ours
+
+
+def test_picks_are_made_at_change_points_only(spark):
+    trans, direct, accts, spine = _history_inputs(spark)
+    runs = br.ownership_runs(direct, spine)
+    picks = br.branch_runs(trans, accts, runs, spine, 60).select("customer_key", "seq_from", "seq_until").collect()
+    sides = (br._usage_runs(trans, runs, spine, 60), br._account_spans(accts, runs, spine))
+    points = {(r[0], p) for side in sides for r in side.select("customer_key", "_from", "_until").collect() for p in r[1:]}
+    assert {(r.customer_key, r.seq_from) for r in picks} == points
+    assert len(picks) == len(points) < 9 * spine.count()
+    for r in picks:  # runs adjoin
+        assert r.seq_until is None or (r.customer_key, r.seq_until) in points
