@@ -10,6 +10,7 @@ from tallybook.operators.aggregates import (
 )
 from tallybook.operators.frames import recode_values, sanitize_columns, union_feeds
 from tallybook.operators.joins import asof_join, range_join_trailing, split_by_membership
+from tallybook.operators.lookups import Lookup, small_lookup
 from tallybook.operators.picks import (
     earliest_per_key,
     latest_per_key,
@@ -17,6 +18,7 @@ from tallybook.operators.picks import (
     most_used,
     top_k,
 )
+from tallybook.operators.ranks import ranked
 from tallybook.operators.spines import (
     asof_dates,
     day_positions,
@@ -28,6 +30,7 @@ from tallybook.operators.spines import (
 from tallybook.operators.upserts import upsert
 
 __all__ = [
+    "Lookup",
     "asof_dates",
     "asof_join",
     "day_positions",
@@ -42,9 +45,11 @@ __all__ = [
     "pivot_agg",
     "processing_dates",
     "range_join_trailing",
+    "ranked",
     "recode_values",
     "rows_per_snapshot",
     "settled_spine",
+    "small_lookup",
     "spine_of_days",
     "sanitize_columns",
     "split_by_membership",

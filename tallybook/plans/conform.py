@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallybook.functions import starts_with_any
 from tallybook.functions.dates import as_date
+from tallybook.operators.lookups import small_lookup
 from tallybook.operators.picks import latest_per_key
 
 # Status code types that count, the application left out, live statuses.
@@ -65,18 +66,17 @@ def build_relationship_base(
     """Customer-account relationships with product group, ownership and status.
 
     ``accounts`` carries ``conformed_status``. A relationship without an account row
-    gets ``unmatched`` as its status, or null.
+    gets ``unmatched`` as its status, or null. Groups and ownership types are few: as long as they are, they
+    are looked up in place, and only the accounts are joined.
     """
     groups = product_groups.select(
         F.col("application_code").alias("application"), "product_group", *by
     ).distinct()
     owners = ownership.select("relationship_key", "ownership_type", *by).distinct()
     status = accounts.select("account_key", "conformed_status", *by)
-    out = (
-        xref.join(groups, ["application", *by], "left")
-        .join(owners, ["relationship_key", *by], "left")
-        .join(status, ["account_key", *by], "left")
-    )
+    grouped = _looked_up(xref, groups, ["application", *by], "product_group")
+    owned = _looked_up(grouped, owners, ["relationship_key", *by], "ownership_type")
+    out = owned.join(status, ["account_key", *by], "left")
     if unmatched is not None:
         out = out.fillna(unmatched, subset=["conformed_status"])
     return out.select(
@@ -90,6 +90,15 @@ def build_relationship_base(
     )
 
 
+def _looked_up(df: DataFrame, lookup: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """Left join with a lookup, without moving ``df`` if the lookup is small."""
+    small = small_lookup(lookup, keys, value)
+    if small is None:
+        return df.join(lookup, list(keys), "left")
+    kinds = [df.schema[k].dataType for k in keys]
+    return df.withColumn(value, small.get(*keys, typed=kinds))
+
+
 def direct_relationships(
     base: DataFrame,
     groups: Iterable[str] | None = None,
