@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
+from tallybook.operators.ranks import ranked
+
 
 def distinct_counts(df: DataFrame, keys: Sequence[str], values: dict[str, str]) -> DataFrame:
     """Exact distinct counts per key; ``values`` maps output names to columns."""
@@ -64,10 +66,11 @@ def pivot_agg(
     return wide.withColumnsRenamed({str(v): n for v, n in zip(values, names)})
 
 
-def frequency_profile(df: DataFrame, column: str) -> DataFrame:
-    """Value counts, most frequent first, then by value."""
+def frequency_profile(df: DataFrame, column: str, rank: str | None = None) -> DataFrame:
+    """Value counts, most frequent first, then by value; ``rank`` names a column for the position."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("row_count"))
-    return counts.orderBy(F.desc("row_count"), F.asc_nulls_last(column))
+    order = [F.desc("row_count"), F.asc_nulls_last(column)]
+    return counts.orderBy(*order) if rank is None else ranked(counts, order, rank)
 
 
 def rows_per_snapshot(df: DataFrame, date_col: str = "snapshot_date") -> DataFrame:

@@ -12,6 +12,7 @@ from tallybook.functions import date_prefix, date_window, parse_datetime
 from tallybook.functions.dates import as_date
 from tallybook.operators.aggregates import pivot_agg, sum_numeric
 from tallybook.operators.picks import latest_per_key
+from tallybook.operators.ranks import ranked
 from tallybook.plans.branches import user_branch
 
 # The vendor's stamp format, session events, and the unknown device.
@@ -177,10 +178,16 @@ def unresolved_users(log: DataFrame) -> DataFrame:
     return sum_numeric(missing, ["user_id"])
 
 
-def transfers_since(transfers: DataFrame, day: date | str) -> DataFrame:
-    """Transfers processed after a day, newest first, with the rows of their snapshot."""
+def transfers_since(
+    transfers: DataFrame, day: date | str, rank: str | None = None
+) -> DataFrame:
+    """Transfers processed after a day, newest first, with the rows of their snapshot.
+
+    ``rank`` names a column for the position in this order.
+    """
     after = transfers.where(F.col("transfer_date") > as_date(day))
     per_day = transfers.groupBy("snapshot_date").agg(F.count(F.lit(1)).alias("snapshot_rows"))
-    return after.join(per_day, "snapshot_date").orderBy(
-        F.desc("transfer_date"), F.asc("transfer_id")
-    )
+    order = [F.desc("transfer_date"), F.asc_nulls_last("transfer_id")]
+    if rank is not None:
+        return ranked(after, order, rank).join(per_day, "snapshot_date")
+    return after.join(per_day, "snapshot_date").orderBy(*order)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallybook.operators.aggregates import distinct_counts, nested_mean, pivot_agg
 from tallybook.operators.picks import top_k
+from tallybook.operators.ranks import ranked
 from tallybook.plans.conform import LIVE_STATUSES
 
 BRANCH = "dynamic_branch_name"
@@ -152,10 +153,12 @@ def top_customers_by_products(
     assignments: DataFrame,
     customer_type: str = "Personal",
     k: int | None = None,
+    rank: str | None = None,
 ) -> DataFrame:
     """Customers of one type by live direct accounts, most first, with branch and flags.
 
-    All of them, or the first ``k``; the order is total, by count and then key.
+    All of them, or the first ``k``; the order is total, by count and then key. ``rank`` names a column
+    for the position in it.
     """
     live = base.where(
         F.col("product_group").isin("Deposit", "Lending", "Services")
@@ -173,5 +176,7 @@ def top_customers_by_products(
     )
     if k is not None:
         counted = top_k(counted, "num_prod_svcs", k, ["customer_key"])
-    ranked = counted.join(branch, "customer_key", "left")
-    return ranked.orderBy(F.desc("num_prod_svcs"), "customer_key")
+    order = [F.desc("num_prod_svcs"), F.asc_nulls_last("customer_key")]
+    if rank is not None:
+        return ranked(counted, order, rank).join(branch, "customer_key", "left")
+    return counted.join(branch, "customer_key", "left").orderBy(*order)

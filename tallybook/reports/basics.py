@@ -215,6 +215,35 @@ def asof(direction: str):
     return build
 
 
+def _hot_user():
+    """The user, but one key for all users of a third of the rows."""
+    return F.when(F.pmod("user_id", F.lit(3)) == 0, -1).otherwise(F.col("user_id")).alias("user_key")
+
+
+def asof_times(direction: str):
+    def build(t: Tables):
+        events = t.raw("events")
+        asked = events.where(F.col("event_type") == "purchase").select(
+            F.col("event_id").alias("purchase_id"), _hot_user(), F.col("ts").alias("purchase_ts")
+        )
+        marks = events.where(F.col("event_type") == "click").select(
+            _hot_user(), F.col("ts").alias("click_ts"), F.col("event_id").alias("click_id")
+        )
+        found = op.asof_join(
+            asked, marks, ["user_key"], "purchase_ts", "click_ts", ["click_id"], direction
+        )
+        return found.select("purchase_id", "user_key", "click_id")
+    return build
+
+
+_ASOF_TIMES_SQL = """
+WITH e AS (SELECT *, CASE WHEN user_id % 3 = 0 THEN -1 ELSE user_id END AS user_key FROM events),
+p AS (SELECT event_id AS purchase_id, user_key, ts AS purchase_ts FROM e WHERE event_type = 'purchase'),
+c AS (SELECT user_key, ts AS click_ts, min(event_id) AS click_id FROM e
+      WHERE event_type = 'click' GROUP BY 1, 2)
+SELECT p.purchase_id, p.user_key, c.click_id
+FROM p ASOF LEFT JOIN c ON p.user_key = c.user_key AND p.purchase_ts {op} c.click_ts"""
+
 _ASOF_SQL = """
 WITH p AS (SELECT event_id AS purchase_id, user_id, CAST(ts AS DATE) AS purchase_date
            FROM events WHERE event_type = 'purchase'),
@@ -377,6 +406,8 @@ GROUP BY branch_number, snapshot_date""", dates=("snapshot_date",)),
            dates=("purchase_date", "click_date")),
     Report("asof_forward", asof("forward"), _ASOF_SQL.format(op=">=", dir="ASC NULLS LAST"),
            dates=("purchase_date", "click_date")),
+    Report("asof_times_backward", asof_times("backward"), _ASOF_TIMES_SQL.format(op=">=")),
+    Report("asof_times_forward", asof_times("forward"), _ASOF_TIMES_SQL.format(op="<=")),
     Report("latest_per_key",
            lambda t: _line(op.latest_per_key(t.raw("lineitem"), ["l_orderkey"], "l_shipdate",
                                              LINE_TIES)),
@@ -446,4 +477,14 @@ SELECT branch, year, round(avg(m), 6) AS mean_accounts FROM (
     FROM orders GROUP BY ALL) GROUP BY ALL) GROUP BY ALL"""),
     Report("frequency_profile", lambda t: op.frequency_profile(t.raw("part"), "p_name"),
            "SELECT p_name, count(*) AS row_count FROM part GROUP BY 1"),
+    Report("frequency_ranked", lambda t: op.frequency_profile(t.raw("part"), "p_name", "rank"), """
+SELECT p_name, count(*) AS row_count, row_number() OVER (ORDER BY count(*) DESC, p_name) AS rank
+FROM part GROUP BY 1"""),
+    Report("orders_ranked",
+           lambda t: op.ranked(
+               t.raw("orders").select("o_orderkey", money("o_totalprice").alias("total")),
+               [F.desc("total"), F.asc("o_orderkey")], "rank"), """
+SELECT o_orderkey, CAST(o_totalprice AS DECIMAL(18,2)) AS total,
+       row_number() OVER (ORDER BY CAST(o_totalprice AS DECIMAL(18,2)) DESC, o_orderkey) AS rank
+FROM orders""", money=("total",)),
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallybook.operators import processing_dates
+from tallybook.operators import processing_dates, settled_spine
 from tallybook.plans import branches, conform, goals
 from tallybook.reports import accounts
 from tallybook.reports.report import Report
@@ -178,14 +178,23 @@ def monthly(t: Tables):
     return _rounded(goals.branch_month_means(counts(t)).drop("quarter"))
 
 
-def top_customers(t: Tables):
+def monthly_wide(t: Tables):
+    """Branch by month-end, a column for every month of the spine."""
+    days = settled_spine(t.month_spine)
+    ends = days.select(F.last_day("snapshot_date").cast("string").alias("day")).orderBy("day")
+    months = [r.day for r in ends.collect()]  # one per month
+    wide = goals.monthly_products_pivot(counts(t), months)
+    return _rounded(wide).withColumnsRenamed({m: f"m_{m[:4]}_{m[5:7]}" for m in months})
+
+
+def top_customers(t: Tables, rank: str | None = None):
     people = t.customers.select(
         "customer_key",
         F.when(F.col("customer_type") == "BUILDING", "Business").otherwise("Personal").alias(
             "customer_type"
         ),
     )
-    return goals.top_customers_by_products(accounts.base(t), people, assignment(t))
+    return goals.top_customers_by_products(accounts.base(t), people, assignment(t), rank=rank)
 
 
 def _used_sql(primary: bool, name: str) -> str:
@@ -334,6 +343,27 @@ LEFT JOIN ({_YEAR_END_SQL}) USING (dynamic_branch_name)
 LEFT JOIN ({_quarter_sql(YEAR, 'current_year')}) USING (dynamic_branch_name)"""
 
 
+# months in which the driver tables have orders, 1995-01 to 2001-08
+_MONTHS = [(1995 + n // 12, n % 12 + 1) for n in range(80)]
+_WIDE_SQL = (
+    "SELECT dynamic_branch_name, "
+    + ", ".join(
+        f"round(max(mean_products) FILTER (year(me_utc_timestamp) = {y} AND month(me_utc_timestamp) = {m}), 6)"
+        f" AS m_{y}_{m:02d}"
+        for y, m in _MONTHS
+    )
+    + f" FROM ({_MONTH_SQL}) GROUP BY 1"
+)
+
+_TOP_SQL = f"""
+SELECT k.*, dynamic_branch_assignment, is_active, is_direct
+FROM (SELECT customer_key, count(DISTINCT account_key) AS num_prod_svcs
+      FROM d_base JOIN customer ON c_custkey = customer_key
+      WHERE product_group IN ('Deposit', 'Lending', 'Services') AND ownership_type = 'Direct'
+        AND conformed_status IN ('OPEN', 'DORMANT') AND c_mktsegment <> 'BUILDING'
+      GROUP BY 1) k
+LEFT JOIN ({_DYNAMIC_SQL}) USING (customer_key)"""
+
 REPORTS = [
     Report("unify_teller", unified_teller, """
 SELECT '1-' || CASE l_orderkey % 8 WHEN 0 THEN 'DD' WHEN 1 THEN 'SV' WHEN 2 THEN 'LN'
@@ -440,12 +470,9 @@ FROM ({_STDDEV_SQL})"""),
     Report("ppc_monthly", monthly, f"""
 SELECT dynamic_branch_name, me_utc_timestamp, round(mean_products, 6) AS mean_products
 FROM ({_MONTH_SQL})""", dates=("me_utc_timestamp",)),
-    Report("top_customers", top_customers, f"""
-SELECT k.*, dynamic_branch_assignment, is_active, is_direct
-FROM (SELECT customer_key, count(DISTINCT account_key) AS num_prod_svcs
-      FROM d_base JOIN customer ON c_custkey = customer_key
-      WHERE product_group IN ('Deposit', 'Lending', 'Services') AND ownership_type = 'Direct'
-        AND conformed_status IN ('OPEN', 'DORMANT') AND c_mktsegment <> 'BUILDING'
-      GROUP BY 1) k
-LEFT JOIN ({_DYNAMIC_SQL}) USING (customer_key)"""),
+    Report("ppc_by_month", monthly_wide, _WIDE_SQL),
+    Report("top_customers", top_customers, _TOP_SQL),
+    Report("top_customers_ranked", lambda t: top_customers(t, "rank"), f"""
+SELECT *, row_number() OVER (ORDER BY num_prod_svcs DESC, customer_key) AS rank
+FROM ({_TOP_SQL})"""),
 ]

@@ -55,14 +55,14 @@ def unrecovered(t: Tables):
     )
 
 
-def transfers(t: Tables):
+def transfers(t: Tables, rank: str | None = None):
     feed = t.digital.where(F.col("transaction_type") == "Transfer").select(
         F.col("event_id").alias("transfer_id"),
         F.col("transaction_date").alias("transfer_date"),
         F.last_day("transaction_date").alias("snapshot_date"),
         "amount",
     )
-    return digital.transfers_since(feed, "2024-01-15")
+    return digital.transfers_since(feed, "2024-01-15", rank)
 
 
 def _teller(t: Tables):
@@ -229,6 +229,13 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey
 LEFT JOIN dd ON dd.user_id = o_custkey AND dd.d = CAST(o_orderdate AS DATE)
 LEFT JOIN oo ON oo.user_id = o_custkey"""
 
+_TRANSFERS_SQL = """
+SELECT event_id AS transfer_id, transaction_date AS transfer_date,
+       last_day(transaction_date) AS snapshot_date, amount,
+       (SELECT count(*) FROM d_digital e WHERE e.transaction_type = 'Transfer'
+          AND last_day(e.transaction_date) = last_day(d.transaction_date)) AS snapshot_rows
+FROM d_digital d WHERE transaction_type = 'Transfer' AND transaction_date > DATE '2024-01-15'"""
+
 REPORTS = [
     Report("login_pivot", logins, """
 WITH u AS (
@@ -264,13 +271,10 @@ FROM d_digital WHERE transaction_type = 'Remote Deposit Capture' GROUP BY 1, 2""
     Report("channel_device_counts", lambda t: digital.channel_device_counts(t.digital), """
 SELECT channel, device, count(*) AS event_count FROM d_digital
 WHERE transaction_type = 'Login' AND result = 'SUCCESS' GROUP BY 1, 2"""),
-    Report("transfers_since", transfers, """
-SELECT event_id AS transfer_id, transaction_date AS transfer_date,
-       last_day(transaction_date) AS snapshot_date, amount,
-       (SELECT count(*) FROM d_digital e WHERE e.transaction_type = 'Transfer'
-          AND last_day(e.transaction_date) = last_day(d.transaction_date)) AS snapshot_rows
-FROM d_digital d WHERE transaction_type = 'Transfer' AND transaction_date > DATE '2024-01-15'""",
-           dates=("transfer_date", "snapshot_date")),
+    Report("transfers_since", transfers, _TRANSFERS_SQL, dates=("transfer_date", "snapshot_date")),
+    Report("transfers_ranked", lambda t: transfers(t, "rank"), f"""
+SELECT *, row_number() OVER (ORDER BY transfer_date DESC, transfer_id) AS rank
+FROM ({_TRANSFERS_SQL})""", dates=("transfer_date", "snapshot_date")),
     Report("view_log", view_log, _VIEW_SQL, dates=("log_date",)),
     Report("unresolved_users", unresolved, f"""
 SELECT user_id, CAST(sum(view_count) AS BIGINT) AS sum_view_count
