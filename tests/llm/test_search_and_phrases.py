@@ -161,7 +161,7 @@ def _level(rows):
     out = []
     for block, head, shard, phrases in rows:
         columns = {"block": [block], "lang": ["en"], "head": [head], "shard": [shard], "start": [0]}
-        columns |= {"tails": [[t for t, _ in phrases]], "counts": [[n for _, n in phrases]]}
+        columns |= {"spread": [2], "tails": ["\t".join(t for t, _ in phrases)], "counts": [[n for _, n in phrases]]}
         out.append(collocations._batch(1, **columns))
     return out
 
@@ -179,7 +179,7 @@ def test_groups_across_batches_are_counted_once():
     for _, h, s, phrases in rows:
         for t, n in phrases:
             expected[h, s, t] += n
-    assert {(r["head"], r["shard"], t): n for r in totals for t, n in zip(r["tails"], r["counts"], strict=True)} == {
+    assert {(r["head"], r["shard"], t): n for r in totals for t, n in zip(r["tails"].split("\t"), r["totals"], strict=True)} == {
         k: n for k, n in expected.items() if n >= 9
     }
 
@@ -191,10 +191,10 @@ def test_long_relations_are_cut_and_join_again(monkeypatch):
     runs = list(collocations._relation(5, "en", at, items))
     assert len(runs) == 6
     listed = collocations._batch(
-        1, block=[5], lang=["en"], head=[""], shard=[0], tails=[["x", "y", "z"]], items=[[0, 1, 2]], counts=[[50, 60, 70]]
+        1, block=[5], lang=["en"], head=[""], shard=[0], tails=["x\ty\tz"], spread=[1], items=[[0, 1, 2]], counts=[[50, 60, 70]]
     )
     longer = collocations._extended(True)(pa.Table.from_batches([*runs, listed])).to_pylist()
-    got = {(r["head"], t): n for r in longer for t, n in zip(r["tails"], r["counts"], strict=True)}
+    got = {(r["head"], t): n for r in longer for t, n in zip(r["tails"].split("\t"), r["counts"], strict=True)}
     names = "xyz"
     assert got == Counter((names[i % 3], names[(i + 1) % 3]) for i in range(39) if at[i + 1] == at[i] + 1)
 
