@@ -58,7 +58,7 @@ def small_lookup(
     """
     slim = lookup.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col(value).alias("_v"))
     names = [f"_k{i}" for i in range(len(keys))]
-    rows = slim.dropna(subset=names).distinct().limit(most + 1).toArrow()
+    rows = slim.dropna(subset=names).limit(most + 1).toArrow()
     if len(rows) > most or rows.nbytes > LOOKUP_BYTES:
         return None
     if len(rows.group_by(names).aggregate([])) < len(rows):

@@ -62,12 +62,12 @@ def spine_of_days(spark: SparkSession, days: Iterable[date]) -> DataFrame:
 
 
 def settled_spine(spine: DataFrame) -> DataFrame:
-    """A spine computed once and kept as a local relation.
+    """A spine computed once and kept as a local relation, with all its columns.
 
     For plans that read a spine several times. Its rows pass through the driver: one per
     calendar day at most.
     """
-    return spine_of_days(spine.sparkSession, [r[0] for r in spine.select("snapshot_date").collect()])
+    return spine.sparkSession.createDataFrame(spine.toArrow(), spine.schema)
 
 
 def latest_two_dates(spine: DataFrame, as_of: date | str) -> DataFrame:

@@ -205,10 +205,10 @@ def ownership_runs(direct: DataFrame, spine: DataFrame) -> DataFrame:
     )
 
 
-def _usage_runs(
+def used_branch_points(
     trans: DataFrame, runs: DataFrame, spine: DataFrame, days: int = 365
 ) -> DataFrame:
-    """Runs of processing days on which a customer's counts at a branch stay the same.
+    """Primary and direct branch per customer from each position (``seq``) on where counts change.
 
     Each transaction adds to a branch's count on the first day whose window holds it
     and takes it off again on the first day after. Those two changes, summed per
@@ -254,19 +254,37 @@ def _usage_runs(
     changes = changes.where("_d != 0 OR _p != 0").repartition("customer_key")
     order = Window.partitionBy("customer_key", "branch_number").orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    running = changes.select(
+    point = F.dense_rank().over(Window.partitionBy("customer_key").orderBy("seq"))
+    running = changes.withColumn("_point", point).select(
         "customer_key",
-        F.col("seq").alias("_from"),
-        F.lead("seq").over(order).alias("_until"),
+        "seq",
+        "_point",
+        F.lead("_point").over(order).alias("_next"),
         "branch_number",
         F.sum("_d").over(upto).alias("direct_uses"),
         F.sum("_p").over(upto).alias("primary_uses"),
     )
-    return running.where(F.col("direct_uses") > 0)
+    return _at_points(running, F.col("direct_uses") > 0).agg(
+        F.max("_seq").alias("seq"),
+        most_used("branch_number", "primary_uses").alias("primary_branch_number"),
+        most_used("branch_number", "direct_uses").alias("direct_branch_number"),
+    )
+
 
+def _at_points(rows: DataFrame, holds: Column):
+    """Rows at each change point of their customer from their own to the next of their kind.
 
-def _account_spans(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataFrame:
-    """Spans of processing days on which a customer owns an opened account; the newest sorts first."""
+    ``_point`` numbers a customer's change points, so a row that holds goes to all points it spans and
+    one that does not only to its own, which then exists. ``_seq`` is the point's day.
+    """
+    last = F.when(holds, F.coalesce(F.col("_next") - 1, F.col("_point"))).otherwise(F.col("_point"))
+    spread = rows.withColumn("_at", F.explode(F.sequence("_point", last)))
+    day = F.when(F.col("_at") == F.col("_point"), F.col("seq"))
+    return spread.withColumn("_seq", day).groupBy("customer_key", "_at")
+
+
+def account_branch_points(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataFrame:
+    """Branch of the newest account owned directly, per customer from each position where that changes."""
     # an account opened before the spine is open on its first day
     positions = F.broadcast(day_positions(spine))  # bounded by the calendar
     first_day = spine.agg(F.min("snapshot_date")).scalar()
@@ -294,11 +312,19 @@ def _account_spans(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataF
     )
     next_from = F.when(hidden, F.lead("_from").over(order))
     until = F.least(next_from, F.col("own_until")).cast("int")
-    return (
-        spans.withColumn("_until", until)
-        .where(F.col("_from") < F.col("_until"))
-        .select("customer_key", "_from", "_until", "_best")
+    shown = spans.withColumn("_until", until).where(F.col("_from") < F.col("_until"))
+    ends = F.array(
+        F.struct(F.col("_from").alias("seq"), F.col("_best").alias("best")),
+        F.struct(F.col("_until").alias("seq"), F.lit(None).cast(spans.schema["_best"].dataType).alias("best")),
     )
+    rows = shown.select("customer_key", "_from", "_until", F.inline(ends))
+    point = F.dense_rank().over(Window.partitionBy("customer_key").orderBy("seq"))
+    span = Window.partitionBy("customer_key", "_from", "_until").orderBy("seq")
+    placed = rows.withColumn("_point", point).withColumn("_next", F.lead("_point").over(span))
+    picks = _at_points(placed, F.col("best").isNotNull()).agg(
+        F.max("_seq").alias("seq"), F.min("best").alias("_best")
+    )
+    return picks.select("customer_key", "seq", F.col("_best")["branch"].alias("acct_branch_number"))
 
 
 def branch_runs(
@@ -313,35 +339,25 @@ def branch_runs(
     Positions ``seq_from`` up to, not including, ``seq_until`` (null: to the end). A sweep over the
     customer's change points: what holds between two of them is decided once at the first.
     """
-    used = _usage_runs(trans, runs, spine, days)
-    owned = _account_spans(accts, runs, spine)
-    both = used.unionByName(owned, allowMissingColumns=True)
-    customer = Window.partitionBy("customer_key")
-    # a customer's change points, at most one per processing day
-    points = F.array_union(
-        F.collect_set("_from").over(customer), F.collect_set("_until").over(customer)
-    )
-    holds = both.withColumn("_points", points).select(
-        "*",
-        F.explode(
-            F.filter("_points", lambda p: p.between(F.col("_from"), F.col("_until")))
-        ).alias("seq_from"),
-    )
-    # at its end a run has gone, but something else may begin or be left there
-    on = F.col("seq_from") < F.col("_until")
-    held = holds.select(
+    used = used_branch_points(trans, runs, spine, days)
+    both = F.struct("primary_branch_number", "direct_branch_number")
+    newest = F.struct("acct_branch_number")
+    points = used.select("customer_key", "seq", both.alias("_used")).unionByName(
+        account_branch_points(accts, runs, spine).select("customer_key", "seq", newest.alias("_newest")),
+        allowMissingColumns=True,
+    )
+    order = Window.partitionBy("customer_key").orderBy("seq", F.asc_nulls_first("_used"))
+    upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    states = points.select(
         "customer_key",
-        "seq_from",
-        "branch_number",
-        *[F.when(on, F.col(c)).alias(c) for c in ("primary_uses", "direct_uses", "_best")],
-    )
-    picks = held.groupBy("customer_key", "seq_from").agg(
-        most_used("branch_number", "primary_uses").alias("primary_branch_number"),
-        most_used("branch_number", "direct_uses").alias("direct_branch_number"),
-        F.min("_best")["branch"].alias("acct_branch_number"),
-    )
-    after = F.lead("seq_from").over(customer.orderBy("seq_from"))
-    return picks.withColumn("seq_until", after)
+        F.col("seq").alias("seq_from"),
+        F.lead("seq").over(order).alias("seq_until"),
+        F.last("_used", ignorenulls=True).over(upto).alias("_used"),
+        F.last("_newest", ignorenulls=True).over(upto).alias("_newest"),
+    )
+    # of two kinds of change on a day the second row has both
+    kept = states.where("seq_until IS NULL OR seq_from < seq_until")
+    return kept.select("customer_key", "seq_from", "seq_until", "_used.*", "_newest.*")
 
 
 _PICKED = ["primary_branch_number", "direct_branch_number", "acct_branch_number"]

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallybook.functions.dates import as_date
@@ -22,6 +22,9 @@ from tallybook.operators.upserts import upsert
 from tallybook.plans.conform import LIVE_STATUSES
 from tallybook.sources.keyed import read_keyed
 
+_WORD = 63  # days in a word of presence; the sign bit stays clear
+_MOST_WORDS = 100  # columns of presence; with more days a customer's days travel as a set
+
 LEDGER_COLUMNS = [
     "customer_key",
     "original_acquisition_date",
@@ -47,10 +50,49 @@ def snapshot_diff(presence: DataFrame, spine: DataFrame) -> DataFrame:
     """Customers acquired or lost, by the processing day that shows it.
 
     ``acquired_on`` is the day itself. ``lost_on`` is the prior processing day, the
-    last one the customer was on. Nobody is acquired on the first day.
+    last one the customer was on. Nobody is acquired on the first day. The spine is computed once, when the
+    plan is made; a customer travels as one bit per day.
     """
-    days = F.broadcast(spine)  # bounded by the calendar, see spines
-    # one exchange: a customer's positions are a set bounded by the number of days
+    known = spine.select("snapshot_date", "seq", "prior_date", "next_date").toArrow()
+    days = F.broadcast(spine.sparkSession.createDataFrame(known))  # bounded by the calendar, see spines
+    rows = known.to_pylist()
+    first = min((r["seq"] for r in rows), default=1)
+    words = (max((r["seq"] for r in rows), default=1) - first) // _WORD + 1
+    if words > _MOST_WORDS:
+        return _diff_of_sets(presence, days)
+    # a customer's presence is a bit per day; a word of it merges before the exchange
+    place = F.col("seq") - first
+    shift = F.pmod(place, F.lit(_WORD)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), shift)
+    nothing = F.lit(0).cast("bigint")
+    merged = [
+        F.coalesce(F.bit_or(F.when(F.floor(place / _WORD) == i, bit)), nothing).alias(f"_w{i}")
+        for i in range(words)
+    ]
+    on = (
+        presence.join(days.select("snapshot_date", "seq"), "snapshot_date")
+        .groupBy("customer_key")
+        .agg(*merged)
+    )
+    gained, left = [], []
+    for i in range(words):
+        own = F.col(f"_w{i}")
+        before = F.shiftrightunsigned(f"_w{i - 1}", _WORD - 1) if i else nothing
+        after = F.shiftleft(f"_w{i + 1}", _WORD - 1) if i + 1 < words else nothing
+        came = own.bitwiseAND(F.bitwise_not(F.shiftleft(own, 1).bitwiseOR(before)))
+        went = own.bitwiseAND(F.bitwise_not(F.shiftrightunsigned(own, 1).bitwiseOR(after)))
+        # nobody is acquired without a day before, or lost without one after
+        gained.append(came.bitwiseAND(F.lit(_word(rows, first, i, "prior_date")).cast("bigint")))
+        left.append(went.bitwiseAND(F.lit(_word(rows, first, i, "next_date")).cast("bigint")))
+    moves = F.concat(
+        F.transform(_positions(gained, first), lambda s: F.struct(s.alias("seq"), F.lit(True).alias("_gained"))),
+        F.transform(_positions(left, first), lambda s: F.struct(s.alias("seq"), F.lit(False).alias("_gained"))),
+    )
+    return _moves(on.select("customer_key", F.inline(moves)).join(days, "seq"))
+
+
+def _diff_of_sets(presence: DataFrame, days: DataFrame) -> DataFrame:
+    """:func:`snapshot_diff` for more days than fit the words: a customer's positions as a set."""
     on = (
         presence.join(days.select("snapshot_date", "seq"), "snapshot_date")
         .groupBy("customer_key")
@@ -58,30 +100,52 @@ def snapshot_diff(presence: DataFrame, spine: DataFrame) -> DataFrame:
     )
     first = F.filter("_on", lambda s, i: ~F.get("_on", i - 1).eqNullSafe(s - 1))
     last = F.filter("_on", lambda s, i: ~F.get("_on", i + 1).eqNullSafe(s + 1))
-    ends = F.explode(F.array_distinct(F.concat(first, last))).alias("seq")
-    marked = on.select("customer_key", first.alias("_first"), last.alias("_last"), ends)
-    marked = marked.join(days, "seq").select(
-        "customer_key",
-        "snapshot_date",
-        "next_date",
-        (F.col("prior_date").isNotNull() & F.array_contains("_first", F.col("seq"))).alias("_gained"),
-        (F.col("next_date").isNotNull() & F.array_contains("_last", F.col("seq"))).alias("_left"),
-    )
-    nothing = F.lit(None).cast("date")
-    gained = F.struct(
-        F.col("snapshot_date").alias("processing_date"),
-        F.col("snapshot_date").alias("acquired_on"),
-        nothing.alias("lost_on"),
+    moves = F.concat(
+        F.transform(first, lambda s: F.struct(s.alias("seq"), F.lit(True).alias("_gained"))),
+        F.transform(last, lambda s: F.struct(s.alias("seq"), F.lit(False).alias("_gained"))),
     )
-    left = F.struct(
-        F.col("next_date").alias("processing_date"),
-        nothing.alias("acquired_on"),
-        F.col("snapshot_date").alias("lost_on"),
+    shown = on.select("customer_key", F.inline(moves)).join(days, "seq")
+    neighbour = F.when(F.col("_gained"), F.col("prior_date")).otherwise(F.col("next_date"))
+    return _moves(shown.where(neighbour.isNotNull()))
+
+
+def _moves(shown: DataFrame) -> DataFrame:
+    day, came = F.col("snapshot_date"), F.col("_gained")
+    return shown.select(
+        "customer_key",
+        F.when(came, day).otherwise(F.col("next_date")).alias("processing_date"),
+        F.when(came, day).alias("acquired_on"),
+        F.when(~came, day).alias("lost_on"),
     )
-    events = F.array_compact(
-        F.array(F.when(F.col("_gained"), gained), F.when(F.col("_left"), left))
+
+
+def _word(rows: list[dict], first: int, i: int, neighbour: str) -> int:
+    """Bits of the days of word ``i`` that have the neighbour."""
+    return sum(
+        1 << (r["seq"] - first) % _WORD
+        for r in rows
+        if r[neighbour] is not None and (r["seq"] - first) // _WORD == i
     )
-    return marked.where("_gained OR _left").select("customer_key", F.inline(events))
+
+
+def _positions(words: list[Column], first: int) -> Column:
+    """Positions of the set bits, found one by one from the lowest; words without any cost nothing."""
+    one = F.lit(1).cast("bigint")
+
+    def lowest(state: Column, _: Column) -> Column:
+        rest = state["rest"]
+        low = rest.bitwiseAND(-rest)
+        return F.struct(
+            rest.bitwiseXOR(low).alias("rest"),
+            F.array_append(state["found"], F.bit_count(low - one)).alias("found"),
+        )
+
+    def placed(word: Column, shift: int) -> Column:
+        start = F.struct(word.alias("rest"), F.lit([]).cast("array<int>").alias("found"))
+        turns = F.slice(F.lit(list(range(_WORD))), 1, F.bit_count(word))
+        return F.transform(F.aggregate(turns, start, lowest)["found"], lambda b: b + F.lit(shift))
+
+    return F.concat(*[placed(word, first + i * _WORD) for i, word in enumerate(words)])
 
 
 def seed_ledger(master: DataFrame, tiebreak: Sequence[str] = ("date_customer_added",)) -> DataFrame:

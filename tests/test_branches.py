@@ -6,7 +6,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from tallybook.operators import processing_dates
+from tallybook.operators import processing_dates, range_join_trailing
 from tallybook.plans import branches as br
 
 D0 = date(2022, 1, 3)
@@ -226,12 +226,17 @@ def test_history_needs_no_session_setting(spark, daily):
 
 
 def test_picks_are_made_at_change_points_only(spark):
+    """Rows before the days are spread: one per customer and day on which something changes."""
     trans, direct, accts, spine = _history_inputs(spark)
     runs = br.ownership_runs(direct, spine)
     picks = br.branch_runs(trans, accts, runs, spine, 60).select("customer_key", "seq_from", "seq_until").collect()
-    sides = (br._usage_runs(trans, runs, spine, 60), br._account_spans(accts, runs, spine))
-    points = {(r[0], p) for side in sides for r in side.select("customer_key", "_from", "_until").collect() for p in r[1:]}
+    sides = (br.used_branch_points(trans, runs, spine, 60), br.account_branch_points(accts, runs, spine))
+    points = {tuple(r) for side in sides for r in side.select("customer_key", "seq").collect()}
     assert {(r.customer_key, r.seq_from) for r in picks} == points
     assert len(picks) == len(points) < 9 * spine.count()
     for r in picks:  # runs adjoin
         assert r.seq_until is None or (r.customer_key, r.seq_until) in points
+    # the changes themselves: a transaction enters one window and leaves another
+    places = range_join_trailing(trans.join(direct, "account_key"), spine, "transaction_date", 60)
+    ends = {(r.customer_key, s) for r in places.collect() for s in (r.seq_from, r.seq_until)}
+    assert {tuple(r) for r in sides[0].select("customer_key", "seq").collect()} <= ends

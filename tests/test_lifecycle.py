@@ -180,3 +180,12 @@ def test_eligible_customers_drop_services_and_unknown_groups(spark, rows):
         "customer_key int, ownership_type string, product_group string, conformed_status string",
     ).withColumn("snapshot_date", F.lit("2022-01-03").cast("date"))
     assert rows(lc.eligible_customers(base), "customer_key") == [(1,)]
+
+
+@pytest.mark.parametrize("case", range(2))
+def test_presence_as_bits_equals_presence_as_sets(spark, rows, monkeypatch, case):
+    calendar, here, seeded = random_presence(case)
+    presence, _, spine = frames(spark, calendar, here, seeded)
+    bits = rows(lc.snapshot_diff(presence, spine))
+    monkeypatch.setattr(lc, "_MOST_WORDS", 0)
+    assert rows(lc.snapshot_diff(presence, spine)) == bits
