@@ -8,9 +8,9 @@ holds the passage.
 1. Bodies (the first ``BODY`` words of each suffix, as a hash) go through Spark's shuffle as compact
    lists; suffixes whose body one document alone has leave.
 2. The rest are sorted by body and following words, and again by body and preceding words; in either order
-   the longest match of a suffix is with a neighbour. So the match extends right and left as
-   far as any other suffix of that body agrees. Suffixes with equal surroundings are merged before the
-   sort, and surroundings are grouped by their first word, which splits a passage that is everywhere.
+   the longest match of a suffix is with the nearest one of another document. So the match extends right and left as
+   far as any other document's suffix of that body agrees. Suffixes with equal surroundings are merged before the
+   sort, and surroundings are grouped by their first word, which splits most of a passage that is everywhere.
 3. Extended matches of a document are merged into maximal intervals; those of fewer than
    ``PASSAGE`` words are dropped, since no repeated passage of that length can lie in them.
 """
@@ -140,11 +140,27 @@ def _agreeing(a: Column, b: Column) -> Column:
 
 
 def _reach(contexts: DataFrame, side: str, other: str) -> DataFrame:
-    """How far each context agrees with another one on ``side``: the better of its neighbours."""
-    order = Window.partitionBy("body", F.substring(side, 1, 4)).orderBy(side, other)
-    near = [_agreeing(F.col(side), step(side).over(order)) for step in (F.lag, F.lead)]
-    whole = F.when(F.col("rows") > 1, F.floor(F.length(side) / 4)).otherwise(0)
-    return contexts.withColumn(f"{side}_words", F.greatest(*near, whole).cast("int"))
+    """How far each context agrees on ``side`` with one of another document.
+
+    In sorted order the longest match is with the nearest context, on either hand, that not this document
+    alone has: the one next to the run of neighbours with the same single owner.
+    """
+    # laid out once for both orders
+    out = contexts.withColumn("_first", F.substring(side, 1, 4))
+    near = []
+    for k, order in enumerate(([F.asc(side), F.asc(other)], [F.desc(side), F.desc(other)])):
+        way = Window.partitionBy("body", "_first").orderBy(*order)
+        before = F.lag(F.struct("lo", "hi", side)).over(way)
+        # a run ends where the owner changes; a context of several documents is a run of its own
+        same = (F.col("_before.lo") == F.col("lo")) & (F.col("_before.hi") == F.col("hi")) & (F.col("lo") == F.col("hi"))
+        begins = F.when(~F.coalesce(same, F.lit(False)), F.struct(F.col("_before")[side].alias("v")))
+        upto = way.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        out = out.withColumn("_before", before)
+        nearest = F.last(begins, ignorenulls=True).over(upto)["v"]
+        out = out.withColumn(f"_near_{k}", _agreeing(F.col(side), nearest)).drop("_before")
+        near.append(f"_near_{k}")
+    whole = F.when(F.col("lo") < F.col("hi"), F.floor(F.length(side) / 4)).otherwise(0)
+    return out.withColumn(f"{side}_words", F.greatest(*near, whole).cast("int")).drop("_first", *near)
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -165,7 +181,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     suffixes = stored(postings.delivered(slim, shared, buckets).mapInArrow(_surrounded, _SUFFIXES), "suffixes")
 
     same = ["body", "ahead", "behind"]
-    contexts = suffixes.groupBy(*same).agg(F.count("*").alias("rows"))
+    contexts = suffixes.groupBy(*same).agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
     reach = _reach(_reach(contexts, "ahead", "behind"), "behind", "ahead")
     place = F.xxhash64(*same)
     reach = reach.select(place.alias("at"), F.col("body").alias("of"), "ahead_words", "behind_words")
