@@ -144,6 +144,21 @@ def test_suffixes_find_the_passage(spark, odd_rows):
     assert 10 not in rows and 4 not in rows
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_suffixes_match_other_documents_only(spark, seed):
+    """Passages that a document repeats itself, with and without what surrounds them."""
+    rnd = random.Random(seed)
+    passages = [prose(rnd, rnd.choice([36, 52, 60, 90]), 10**6) for _ in range(6)]
+    rows = [(d, " ".join(prose(rnd, rnd.randrange(1, 40), 10**6) + " " + rnd.choice(passages) for _ in range(3))) for d in range(12)]
+    edge = [prose(rnd, 20, 10**6) for _ in range(2)]
+    rows += [(20, f"{edge[0]} {passages[2]} {edge[1]} {prose(rnd, 9, 10**6)} {edge[0]} {passages[2]} {edge[1]}"), (21, passages[2])]
+    found = {r.doc_id: r.intervals for r in suffixes.repeated_passages(frame(spark, rows).repartition(3)).collect()}
+    long, body = brute.repeated(rows, 50), brute.repeated(rows, 35)
+    for doc_id, _ in rows:
+        covered = {k for x in found.get(doc_id, []) for k in range(x.start, x.end)}
+        assert long[doc_id] <= covered <= body[doc_id]
+
+
 def test_components_equal_brute_force(spark, odd_rows):
     rows = [(d, t) for d, t in odd_rows if d != 12]
     found = setjoin.similar_documents(frame(spark, rows).repartition(3)).collect()
@@ -373,3 +388,28 @@ def test_stages_on_odd_rows(spark, tmp_path, odd_rows):
         none = stage(spark, none, str(tmp_path))
         assert none.count() == 0
     assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_prior_from_positives_and_unlabelled():
+    rng = np.random.default_rng(4)
+    for share in (0.6, 0.85, 0.97):
+        def rows(n, good):
+            return np.column_stack([rng.normal(0 if good else 4, 1, n) for _ in range(3)]).astype(np.float32)
+
+        n = 6000
+        unlabelled = np.concatenate([rows(int(n * share), True), rows(n - int(n * share), False)])
+        rng.shuffle(unlabelled)
+        edges = np.quantile(unlabelled, np.linspace(0, 1, 25)[1:-1], axis=0).T.astype(np.float32)
+        assert abs(quality.estimate_prior(rows(3000, True), unlabelled, edges) - share) < 0.04
+
+
+def test_sample_is_bounded_whatever_the_ids(spark):
+    """A third of the rows without an id, a third with the same one, half of these alike in all."""
+    rows = spark.sql(
+        "SELECT if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) AS doc_id,"
+        " array(cast(if(id % 2 = 0, 1, id) AS float)) AS measures FROM range(30000)"
+    )
+    taken = quality._sample(rows, 30_000, 1000)
+    assert 300 < len(taken) <= 2000
+    again = quality._sample(rows.repartition(7), 30_000, 1000)
+    assert len(taken) == 2000 or sorted(taken[:, 0]) == sorted(again[:, 0])

@@ -84,6 +84,21 @@ def test_quality_on_held_out_rows(spark, con, documents):
     assert np.mean([[g > b for b in bad] for g in good]) > 0.95
 
 
+def test_quality_reads_no_negative_labels(spark):
+    """Trusted positives alone give the same scores, and held-out junk is still rejected."""
+    from tallybook.llm.quality import classify_quality
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    scored = [
+        {r.doc_id: r for r in classify_quality(docs, x).collect()} for x in (labels, labels.where("quality = 1"))
+    ]
+    assert {d: r.score for d, r in scored[0].items()} == {d: r.score for d, r in scored[1].items()}
+    held = [(scored[1][r.doc_id], r.quality) for r in labels.collect() if scored[1][r.doc_id].held_out]
+    junk, good = ([r.predicted for r, q in held if q == x] for x in (0, 1))
+    assert len(junk) >= 10 and sum(junk) <= 2
+    assert sum(good) >= 0.98 * len(good)
+
+
 def test_personal_data(spark, documents):
     import hashlib
 
