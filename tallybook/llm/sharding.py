@@ -105,11 +105,18 @@ def _assigned(rows: DataFrame, done: list, limit: int) -> DataFrame:
     return each.select("doc_id", "bytes", "bits", "prefix", page)
 
 
-def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """``docs`` as Parquet, one folder ``shard=bits-prefix-page`` per shard; ids must be unique."""
+def write_shards(docs: DataFrame, path: str, limit: int = SHARD_BYTES, id_col: str = "doc_id", text_col: str = "text") -> str:
+    """``docs`` as Parquet, one folder ``shard=bits-prefix-page`` per shard; ids must be unique.
+
+    Returns the folders' column: ``shard``, with underscores behind it while ``docs`` has one of that name.
+    """
+    column = "shard"
+    while column in {c.lower() for c in docs.columns}:
+        column += "_"
     found = extendible_shards(docs, limit, id_col, text_col)
-    name = F.concat_ws("-", "bits", "prefix", "page").alias("shard")
+    name = F.concat_ws("-", "bits", "prefix", "page").alias(column)
     named = found.select(F.col("doc_id").alias("id"), name).alias("__named")
     same = F.col(f"__docs.{id_col}").eqNullSafe(F.col("__named.id"))
-    rows = docs.alias("__docs").join(named, same).select("__docs.*", "__named.shard")
-    rows.repartition("shard").write.partitionBy("shard").parquet(path)
+    rows = docs.alias("__docs").join(named, same).select("__docs.*", f"__named.{column}")
+    rows.repartition(column).write.partitionBy(column).parquet(path)
+    return column

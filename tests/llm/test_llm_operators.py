@@ -318,6 +318,15 @@ def test_written_shards(spark, tmp_path):
     assert back.groupBy("shard").agg(F.sum(F.length("text")).alias("n")).where("n > 1000").count() == 0
 
 
+def test_shards_of_documents_with_a_shard_column(spark, tmp_path):
+    docs = frame(spark, [(k, "x" * k) for k in range(60)]).withColumn("Shard", F.col("doc_id") % 2)
+    column = sharding.write_shards(docs, str(tmp_path / "shards"), 500)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert column == "shard_" and back.columns == ["doc_id", "text", "Shard", "shard_"]
+    assert back.where("Shard = doc_id % 2").count() == 60
+    assert back.groupBy(column).agg(F.sum(F.length("text")).alias("n")).where("n > 500").count() == 0
+
+
 def test_licence_bounds(spark):
     rows = [
         (1, "x\nLicensed under CC BY-NC 4.0.\ny"), (2, "licensed UNDER the mit license"), (3, None), (4, ""),
