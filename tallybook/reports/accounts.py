@@ -15,8 +15,11 @@ def conformed(t: Tables):
 
 
 def base(t: Tables):
-    status = conformed(t).select("account_key", "conformed_status")
-    return conform.build_relationship_base(t.xref, t.product_groups, t.ownership, status)
+    """Relationships of all accounts; made once per query, as its lookups are read for it."""
+    return t.derived("base", lambda: conform.build_relationship_base(
+        t.xref, t.product_groups, t.ownership,
+        conformed(t).select("account_key", "conformed_status"),
+    ))
 
 
 def conformed_columns(t: Tables):

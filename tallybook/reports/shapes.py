@@ -54,6 +54,12 @@ class Tables:
             self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
+    def derived(self, name: str, build) -> DataFrame:
+        """What ``build`` makes, made once for all steps of a query."""
+        if name not in self._tables:
+            self._tables[name] = build()
+        return self._tables[name]
+
     # accounts and relationships -------------------------------------------------
 
     @cached_property
