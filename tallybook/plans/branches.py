@@ -22,6 +22,9 @@ from tallybook.operators.picks import latest_per_key, mode_per_key, most_used
 from tallybook.operators.spines import day_positions, last_position, settled_spine
 from tallybook.plans.conform import activity_flags
 
+#: Customers times processing days that one task of the history sweep holds, about.
+TASK_ROWS = 500_000
+
 BRANCH_COLUMNS = ["primary_branch", "direct_branch", "acct_branch", "rm_branch", "dynamic_branch"]
 
 
@@ -205,12 +208,28 @@ def ownership_runs(direct: DataFrame, spine: DataFrame) -> DataFrame:
     )
 
 
+def _sweep_tasks(customers: DataFrame, direct: DataFrame, spine: DataFrame) -> int:
+    """Tasks for a sweep over all customers, each with about :data:`TASK_ROWS` rows of the result.
+
+    A customer has at most one change point per processing day. The bytes exchanged say little about that,
+    and tasks put together by them hold more customers the larger the input is.
+    """
+    people = customers.select("customer_key").union(direct.select("customer_key"))
+    many = people.agg(F.approx_count_distinct("customer_key")).first()[0]  # one number
+    rows = many * spine.count()
+    return max(-(-rows // TASK_ROWS), spine.sparkSession.sparkContext.defaultParallelism)
+
+
+def _by_customer(df: DataFrame, tasks: int | None) -> DataFrame:
+    return df.repartition("customer_key") if tasks is None else df.repartition(tasks, "customer_key")
+
+
 def used_branch_points(
-    trans: DataFrame, runs: DataFrame, spine: DataFrame, days: int = 365
+    trans: DataFrame, runs: DataFrame, spine: DataFrame, days: int = 365, tasks: int | None = None
 ) -> DataFrame:
     """Primary and direct branch per customer from each position (``seq``) on where counts change.
 
-    Each transaction adds to a branch's count on the first day whose window holds it
+    ``tasks`` is the number of tasks customers are dealt to. Each transaction adds to a branch's count on the first day whose window holds it
     and takes it off again on the first day after. Those two changes, summed per
     customer and branch, replace a pass over the trailing year for every day.
     """
@@ -251,7 +270,7 @@ def used_branch_points(
     )
     # at most two changes per processing day and branch reach this window; laid out by
     # customer, where all that follows stays
-    changes = changes.where("_d != 0 OR _p != 0").repartition("customer_key")
+    changes = _by_customer(changes.where("_d != 0 OR _p != 0"), tasks)
     order = Window.partitionBy("customer_key", "branch_number").orderBy("seq")
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     point = F.dense_rank().over(Window.partitionBy("customer_key").orderBy("seq"))
@@ -283,7 +302,9 @@ def _at_points(rows: DataFrame, holds: Column):
     return spread.withColumn("_seq", day).groupBy("customer_key", "_at")
 
 
-def account_branch_points(accts: DataFrame, runs: DataFrame, spine: DataFrame) -> DataFrame:
+def account_branch_points(
+    accts: DataFrame, runs: DataFrame, spine: DataFrame, tasks: int | None = None
+) -> DataFrame:
     """Branch of the newest account owned directly, per customer from each position where that changes."""
     # an account opened before the spine is open on its first day
     positions = F.broadcast(day_positions(spine))  # bounded by the calendar
@@ -300,11 +321,10 @@ def account_branch_points(accts: DataFrame, runs: DataFrame, spine: DataFrame) -
         F.col("branch_id").alias("branch"),
     )
     owned = clamped.join(runs, "account_key").where(start < F.col("own_until"))
-    spans = (
-        owned.groupBy("customer_key", start.alias("_from"), "own_until")
-        .agg(F.min(newest).alias("_best"))
-        .repartition("customer_key")
+    spans = owned.groupBy("customer_key", start.alias("_from"), "own_until").agg(
+        F.min(newest).alias("_best")
     )
+    spans = _by_customer(spans, tasks)
     # a newer account that lasts as long hides the rest of the span before it
     order = Window.partitionBy("customer_key").orderBy("_from", "_best")
     hidden = (F.lead("_best").over(order) < F.col("_best")) & (
@@ -333,18 +353,19 @@ def branch_runs(
     runs: DataFrame,
     spine: DataFrame,
     days: int = 365,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Primary, direct and newest-account branch per customer and run of processing days.
 
     Positions ``seq_from`` up to, not including, ``seq_until`` (null: to the end). A sweep over the
     customer's change points: what holds between two of them is decided once at the first.
     """
-    used = used_branch_points(trans, runs, spine, days)
+    used = used_branch_points(trans, runs, spine, days, tasks)
     both = F.struct("primary_branch_number", "direct_branch_number")
     newest = F.struct("acct_branch_number")
+    opened = account_branch_points(accts, runs, spine, tasks)
     points = used.select("customer_key", "seq", both.alias("_used")).unionByName(
-        account_branch_points(accts, runs, spine).select("customer_key", "seq", newest.alias("_newest")),
-        allowMissingColumns=True,
+        opened.select("customer_key", "seq", newest.alias("_newest")), allowMissingColumns=True
     )
     order = Window.partitionBy("customer_key").orderBy("seq", F.asc_nulls_first("_used"))
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -410,15 +431,17 @@ def dynamic_branch_history(
 
     ``customers``, ``direct`` and ``flags`` are daily when they carry a
     ``snapshot_date``; otherwise the same rows hold on every day. The spine is computed once, when the
-    plan is made.
+    plan is made, and customers are counted then, approximately, for the number of tasks.
     """
     spine = settled_spine(spine)
     seqs = F.broadcast(spine.select("snapshot_date", "seq"))  # bounded by the calendar
-    picks = branch_runs(trans, accts, ownership_runs(direct, spine), spine, days)
+    tasks = _sweep_tasks(customers, direct, spine)
+    picks = branch_runs(trans, accts, ownership_runs(direct, spine), spine, days, tasks)
     daily = [x for x in (customers, flags) if "snapshot_date" in x.columns]
     if not daily:
         master = customers.select("customer_key", "opening_branch").distinct()
-        spread = _spread(master.join(flags, "customer_key", "left"), picks, spine)
+        flagged = _by_customer(master.join(flags, "customer_key", "left"), tasks)
+        spread = _spread(flagged, picks, spine)
         return spread.join(seqs, "seq").select(*_assignment_columns(F.col("snapshot_date")))
     at = ["customer_key", "snapshot_date"]
     key = [c for c in at if c in customers.columns]
@@ -428,7 +451,7 @@ def dynamic_branch_history(
         all_days = spine.agg(F.collect_list("snapshot_date")).scalar()
         master = master.withColumn("snapshot_date", F.explode(all_days))
     master = master.join(flags, [c for c in at if c in flags.columns], "left")
-    master = master.join(seqs, "snapshot_date")
+    master = _by_customer(master.join(seqs, "snapshot_date"), tasks)
     return _carried(master, picks).select(*_assignment_columns(F.col("snapshot_date")))
 
 

@@ -240,3 +240,18 @@ def test_picks_are_made_at_change_points_only(spark):
     places = range_join_trailing(trans.join(direct, "account_key"), spine, "transaction_date", 60)
     ends = {(r.customer_key, s) for r in places.collect() for s in (r.seq_from, r.seq_until)}
     assert {tuple(r) for r in sides[0].select("customer_key", "seq").collect()} <= ends
+
+
+@pytest.mark.parametrize("daily", [False, True])
+def test_a_task_of_the_history_holds_a_bounded_number_of_rows(spark, monkeypatch, daily):
+    """However few bytes the exchanges hold, customers are not put together in a few tasks."""
+    monkeypatch.setattr(br, "TASK_ROWS", 600, raising=False)
+    trans, direct, accts, spine = _history_inputs(spark)
+    customers = spark.sql("SELECT cast(id AS int) AS customer_key, 90 AS opening_branch FROM range(60)")
+    flags = spark.sql("SELECT cast(id AS int) AS customer_key, 'Y' AS is_active, 'N' AS is_direct FROM range(5)")
+    if daily:
+        customers = customers.crossJoin(spine.select("snapshot_date"))
+    history = br.dynamic_branch_history(customers, trans, direct, accts, flags, spine)
+    held = history.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in held) == 60 * 120
+    assert max(r["count"] for r in held) <= 60 * 120 // 3
