@@ -524,25 +524,29 @@ def reprocess_flags(
 def user_branch(
     trans: DataFrame, logs: DataFrame, user: str = "user_id", day: str = "log_date"
 ) -> DataFrame:
-    """Log rows with the employee's branch: most used that day, else most used ever."""
-    # transactions are counted once for both picks
-    counted = trans.groupBy("user_id", "transaction_date", "branch_number").agg(
-        F.count(F.lit(1)).alias("_n")
-    )
-    per_day = latest_per_key(counted, ["user_id", "transaction_date"], "_n", ["branch_number"])
-    overall = mode_per_key(counted, ["user_id"], "branch_number", weight="_n")
-    that_day = per_day.select(
-        F.col("user_id").alias(user),
-        F.col("transaction_date").alias(day),
-        F.col("branch_number").alias("_that_day"),
-    )
-    ever = overall.select(F.col("user_id").alias(user), F.col("branch_number").alias("_ever"))
-    return (
-        logs.join(that_day, [user, day], "left")
-        .join(ever, user, "left")
-        .withColumn("user_branch_number", F.coalesce("_that_day", "_ever"))
-        .drop("_that_day", "_ever")
-    )
+    """Log rows with the employee's branch: most used that day, else most used ever.
+
+    An employee's days become one row, an entry per calendar day at most, so that log rows, of which there
+    may be many times more, are laid out by employee once for both picks.
+    """
+    # transactions are counted once for both picks, then laid out by employee, where all else is done
+    counted = trans.where(F.col("user_id").isNotNull()).groupBy(
+        "user_id", "transaction_date", "branch_number"
+    ).agg(F.count(F.lit(1)).alias("_n"))
+    by_use = [F.desc("_n"), F.asc_nulls_last("branch_number")]
+    on_day = F.row_number().over(Window.partitionBy("user_id", "transaction_date").orderBy(*by_use))
+    ever = F.sum("_n").over(Window.partitionBy("user_id", "branch_number"))
+    picked = counted.repartition("user_id").withColumns({"_nth": on_day, "_total": ever})
+    branch = F.col("branch_number")
+    first = (F.col("_nth") == 1) & F.col("transaction_date").isNotNull()
+    most = F.struct((-F.col("_total")).alias("uses"), branch.isNull().alias("none"), branch)
+    days = F.collect_list(F.when(first, F.struct("transaction_date", "branch_number")))
+    users = picked.groupBy(F.col("user_id").alias(user)).agg(
+        F.map_from_entries(days).alias("_days"), F.min(most)["branch_number"].alias("_ever")
+    )
+    rest = [c for c in logs.columns if c not in (user, day)]
+    found = F.coalesce(F.col("_days")[F.col(day)], "_ever").alias("user_branch_number")
+    return logs.join(users, user, "left").select(user, day, *rest, found)
 
 
 def latest_assignment(assignments: DataFrame, branch: str = "dynamic_branch_name") -> DataFrame:

@@ -158,18 +158,29 @@ def update_log(
     """Audit updates with their transaction, optional account, key and changed value.
 
     Keys and values meet on the column name too, so an update of several columns does
-    not pair each key with each value. ``trans`` adds the employee's branch.
+    not pair each key with each value. ``trans`` adds the employee's branch, which is looked up for
+    transactions, before updates and their columns multiply them.
     """
     step = ["logging_session_id", "logging_view_id", "transaction_id"]
     update = [*step, "update_id"]
+    dated = transactions.withColumn("log_date", F.to_date("create_date"))
+    if trans is not None:
+        dated = user_branch(trans, dated)
+    found = ["log_date"] if trans is None else ["log_date", "user_branch_number"]
+    # joined by update alone, rows stay where the joins before have laid them; a value meets the keys
+    # of its own update only, and of those the one of its column is kept
+    changed = F.col("_changed")
     chained = (
-        transactions.join(updates, step)
+        dated.join(updates, step)
         .join(accounts, update, "left")
         .join(keys, update)
-        .join(values, [*update, "column_name"])
-        .withColumn("log_date", F.to_date("create_date"))
+        .join(values.withColumnRenamed("column_name", "_changed"), update)
+        .where(F.col("column_name").between(changed, changed))
+        .drop("_changed")
     )
-    return chained if trans is None else user_branch(trans, chained)
+    first = [*update, "column_name"]
+    rest = [c for c in chained.columns if c not in [*first, *found]]
+    return chained.select(*first, *rest, *found)
 
 
 def unresolved_users(log: DataFrame) -> DataFrame:

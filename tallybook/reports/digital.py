@@ -105,23 +105,34 @@ def unresolved(t: Tables):
 
 
 def update_log(t: Tables):
-    lines = t.raw("lineitem")
-    step = [
-        F.col("l_orderkey").alias("logging_session_id"),
-        F.col("l_linenumber").alias("logging_view_id"),
-        F.col("l_suppkey").alias("transaction_id"),
-    ]
-    update = [*step, F.col("l_partkey").alias("update_id")]
-    transactions = lines.groupBy(*step).agg(
-        F.min("l_partkey").alias("user_id"), F.min("l_shipdate").alias("create_date")
+    step = ["logging_session_id", "logging_view_id", "transaction_id"]
+    update = [*step, "update_id"]
+
+    def laid(keys: list[str], *rest: str):
+        """Lines laid out by the keys, the other columns in one, so that all feeds read the same exchange."""
+        lines = t.raw("lineitem").select(
+            F.col("l_orderkey").alias("logging_session_id"),
+            F.col("l_linenumber").alias("logging_view_id"),
+            F.col("l_suppkey").alias("transaction_id"),
+            F.col("l_partkey").alias("update_id"),
+            *rest,
+        )
+        others = [c for c in lines.columns if c not in keys]
+        whole = lines.select(*keys, F.struct(*others).alias("line")).repartition(*keys)
+        return whole.select(*keys, F.inline(F.array("line")))
+
+    by_step = laid(step, "l_shipdate")
+    transactions = by_step.groupBy(*step).agg(
+        F.min("update_id").alias("user_id"), F.min("l_shipdate").alias("create_date")
     )
-    updates = lines.groupBy(*update).agg(F.count(F.lit(1)).alias("line_count"))
-    accounts = lines.where(F.col("l_linestatus") == "F").select(*update).distinct().withColumn(
+    updates = by_step.groupBy(*update).agg(F.count(F.lit(1)).alias("line_count"))
+    by_update = laid(update, "l_linestatus", "l_quantity", "l_discount")
+    accounts = by_update.where(F.col("l_linestatus") == "F").select(*update).distinct().withColumn(
         "account_customer_key", F.col("logging_session_id") * 10
     )
     columns = F.explode(F.array(F.lit("quantity"), F.lit("discount"))).alias("column_name")
-    keys = lines.select(*update).distinct().select("*", columns)
-    values = lines.groupBy(*update).agg(
+    keys = by_update.select(*update).distinct().select("*", columns)
+    values = by_update.groupBy(*update).agg(
         F.min("l_quantity").alias("quantity"), F.min("l_discount").alias("discount")
     )
     values = values.select(

@@ -4,8 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallybook.operators import processing_dates
-from tallybook.plans import campaign, cohorts, digital
+from tallybook.plans import branches, campaign, cohorts, digital
 from tallybook.plans import transactions as tx
+from tallybook.reports import digital as reports
+from tallybook.reports.shapes import Tables
 from tallybook.sources import (
     copy_tables,
     export_csv,
@@ -312,3 +314,91 @@ def test_tables_and_csv(spark, rows, tmp_path):
     export_csv(df, path, single_file=True)
     assert rows(read_csv(spark, path)) == [(1, 2.5)]
     assert rows(read_csv(spark, path, "id INT, amount STRING")) == [(1, "2.50")]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def large_tables(spark):
+    """No join by broadcast, and Spark's own rule for rows laid out by a part of the join keys."""
+    wanted = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.requireAllClusterKeysForCoPartition": "true",
+    }
+    before = {k: spark.conf.get(k) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def test_update_log_moves_the_chain_once_to_its_updates(spark, rows, large_tables):
+    step = "logging_session_id, logging_view_id, transaction_id"
+    transactions = values(spark, "(1, 1, 1, 'e', date'2022-01-03'), (2, 1, 1, 'f', date'2022-01-03'), "
+                          "(cast(null AS int), 1, 1, 'e', date'2022-01-03')", f"{step}, user_id, create_date")
+    updates = values(spark, "(1, 1, 1, 1), (1, 1, 1, 2), (2, 1, 1, 1), (2, 1, 1, 1), (null, 1, 1, 1), "
+                     "(1, 1, 1, null)", f"{step}, update_id")
+    accounts = values(spark, "(1, 1, 1, 1, 'z'), (1, 1, 1, 1, 'y'), (1, 1, 1, null, 'x')",
+                      f"{step}, update_id, link")
+    keys = values(spark, "(1, 1, 1, 1, 'a', 'k'), (1, 1, 1, 2, 'a', 'm'), (1, 1, 1, 2, 'b', 'n'), "
+                  "(1, 1, 1, 2, null, 'o'), (2, 1, 1, 1, 'c', 'p'), (1, 1, 1, null, 'a', 'q')",
+                  f"{step}, update_id, column_name, column_value")
+    changed = values(spark, "(1, 1, 1, 1, 'a', 'v'), (1, 1, 1, 2, 'a', 'w'), (1, 1, 1, 2, 'a', 'x'), "
+                     "(1, 1, 1, 2, 'd', 'y'), (1, 1, 1, 2, null, 'z'), (2, 1, 1, 1, 'c', 'u'), "
+                     "(1, 1, 1, null, 'a', 't')", f"{step}, update_id, column_name, new_column_value")
+    trans = values(spark, "('e', date'2022-01-03', 4)", "user_id, transaction_date, branch_number")
+    alone = digital.update_log(transactions, updates, accounts, keys, changed)
+    got = digital.update_log(transactions, updates, accounts, keys, changed, trans)
+    # each input once, and the transactions with their updates
+    assert _plan(alone).count("Exchange hashpartitioning") == 6
+    # transactions by employee, and the counted ones twice
+    assert _plan(got).count("Exchange hashpartitioning") == 9
+    assert got.columns == [*step.split(", "), "update_id", "column_name", "user_id", "create_date", "link",
+                           "column_value", "new_column_value", "log_date", "user_branch_number"]
+    assert alone.columns == got.columns[:-1]
+    picked = ("logging_session_id", "update_id", "column_name", "link", "column_value",
+              "new_column_value", "user_branch_number")
+    assert rows(got, *picked) == [
+        (1, 1, "a", "y", "k", "v", 4), (1, 1, "a", "z", "k", "v", 4), (1, 2, "a", None, "m", "w", 4),
+        (1, 2, "a", None, "m", "x", 4), (2, 1, "c", None, "p", "u", None), (2, 1, "c", None, "p", "u", None),
+    ]
+
+
+def test_update_log_report_moves_the_lines_once_for_its_feeds(spark, tmp_path):
+    spark.sql(
+        "SELECT id AS l_orderkey, id % 7 AS l_partkey, id % 3 AS l_suppkey, cast(id % 5 AS int) AS l_linenumber, "
+        "1.0 AS l_quantity, 2.0 AS l_extendedprice, 0.1 AS l_discount, if(id % 2 = 0, 'F', 'O') AS l_linestatus, "
+        "timestamp'2022-01-03' AS l_shipdate FROM range(50)"
+    ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    log = reports.update_log(Tables(spark, str(tmp_path)))
+    assert len(log.collect()) == 100
+    final = _plan(log).split("== Initial Plan ==")[0]
+    # two layouts for five feeds, and what the branch of employees needs
+    assert final.count("FileScan parquet") == 3
+
+
+def test_employee_branch_moves_log_rows_once(spark, rows, large_tables):
+    trans = values(
+        spark,
+        "('e', date'2022-01-03', 1), ('e', date'2022-01-04', 2), ('e', date'2022-01-04', 2), "
+        "('e', cast(null AS date), 1), ('e', null, 1), ('g', date'2022-01-03', cast(null AS int)), "
+        "('g', date'2022-01-03', null), ('g', date'2022-01-04', 3), ('h', date'2022-01-03', 6), "
+        "('h', date'2022-01-03', 5), (null, date'2022-01-03', 9)",
+        "user_id, transaction_date, branch_number",
+    )
+    logs = values(
+        spark,
+        "(1, 'e', date'2022-01-04'), (2, 'e', date'2022-01-09'), (3, 'e', cast(null AS date)), "
+        "(4, 'g', date'2022-01-03'), (5, 'g', date'2022-01-04'), (6, 'h', date'2022-01-03'), "
+        "(7, null, date'2022-01-03'), (8, 'i', date'2022-01-03')",
+        "id, user_id, log_date",
+    )
+    got = branches.user_branch(trans, logs)
+    assert got.columns == ["user_id", "log_date", "id", "user_branch_number"]
+    assert rows(got, "id", "user_branch_number") == [
+        (1, 2), (2, 1), (3, 1), (4, None), (5, 3), (6, 5), (7, None), (8, None)
+    ]
+    assert _plan(got).split("== Initial Plan ==")[0].count("Exchange hashpartitioning") == 3
